@@ -1,0 +1,27 @@
+"""Keep a costly intermediate result."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage, on storage that outlives executors.
+
+    Checkpoints go to the folder in ``spark.checkpoint.dir``, which on a cluster is
+    shared. Only a local session without that setting gets a temporary folder.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+            "spark.checkpoint.dir"
+        )
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
