@@ -110,7 +110,8 @@ _INDEXED = """
 indexed AS (
   SELECT feature, row_number() OVER (ORDER BY substr(md5(feature), 1, 3), feature) - 1
          AS feature_index
-  FROM (SELECT DISTINCT feature FROM counted)
+         , n_documents
+  FROM (SELECT feature, count(*) AS n_documents FROM counted GROUP BY feature)
 )"""
 
 
@@ -299,7 +300,7 @@ ORACLES = {
       SELECT feature, CAST(sum(n) AS BIGINT) AS n FROM counted
       WHERE feature NOT IN (SELECT word FROM stops) GROUP BY feature
       ORDER BY 2 DESC, 1 LIMIT 25""",
-    "feature_index": f"{_DOCS}, {_CLEAN}, {_INDEXED} SELECT feature, feature_index FROM indexed",
+    "feature_index": f"{_DOCS}, {_CLEAN}, {_INDEXED} SELECT * FROM indexed",
     "dfm_vectors": f"""{_DOCS}, {_CLEAN}, {_INDEXED},
       vectors AS (
         SELECT doc_id, feature_index // 10000 AS block,

@@ -4,6 +4,7 @@ from morphloom.functions.lattice import (
     int_or_null,
     lattice_lines,
     line_fields,
+    once,
     sentence_blocks,
     sentence_lines,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "is_punct",
     "lattice_lines",
     "line_fields",
+    "once",
     "sentence_blocks",
     "sentence_lines",
     "strip_punct",

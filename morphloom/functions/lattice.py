@@ -54,3 +54,12 @@ def int_or_null(c: Column | str) -> Column:
     number = F.when(F.rlike(c, F.lit(_NUMBER)), c.try_cast("double"))
     # -2^31 stands for "missing" in the data model, so it is no value either.
     return F.nullif(number.try_cast("int"), F.lit(-(2**31)))
+
+
+def once(expr: Column) -> Column:
+    """``expr`` as the only element of a generator, so that it is computed once.
+
+    A filter on a column that holds an expression is moved in front of it, and each
+    condition then works the expression out anew. Filters stay behind generators.
+    """
+    return F.explode(F.array(expr))

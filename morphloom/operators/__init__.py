@@ -19,6 +19,7 @@ from morphloom.operators.lattices import (
     ambiguous_lattices,
     attach_dependencies,
     coerce_int,
+    content_morphemes,
     explode_dep,
     explode_md,
     morpheme_table,
@@ -48,6 +49,7 @@ __all__ = [
     "as_tokens",
     "attach_dependencies",
     "coerce_int",
+    "content_morphemes",
     "content_tokens",
     "decode_responses",
     "dfm",

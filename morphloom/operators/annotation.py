@@ -48,7 +48,7 @@ def annotate(
     ``partitions`` deals the documents out first, for inputs with too few splits.
 
     The result is lazy: each action on it calls the annotator again. Write it, or
-    use :func:`morphloom.plans.materialize`, before reading it more than once.
+    use :func:`morphloom.materialize`, before reading it more than once.
     """
     keep = _policy(on_error)
     wired = wire_text(docs, pre_tokenized)

@@ -6,8 +6,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from morphloom.functions import strip_punct
-from morphloom.operators.skew import attach_by_word, is_small
+from morphloom.functions import once, strip_punct
+from morphloom.operators.checkpoints import materialize
+from morphloom.operators.skew import attach_by_word, heavy_words, is_small
 from morphloom.operators.tokens import (
     _remove_punct,
     drop_empty_tokens,
@@ -56,9 +57,11 @@ def remove_stopwords(
     if small or df.isStreaming:
         words = F.broadcast(words) if small else words
         return df.join(words, folded == F.col("_word"), "left_anti")
-    marked = attach_by_word(
-        df.withColumn("_word", folded), "_word", words.withColumn("_stop", F.lit(True))
-    )
+    rows = df.withColumn("_word", folded)
+    stops = words.withColumn("_stop", F.lit(True))
+    counted = rows.groupBy("_word").agg(F.count(F.lit(1)).alias("_n"))
+    heavy = heavy_words(counted, "_word", "_n").join(stops, "_word", "left")
+    marked = attach_by_word(rows, "_word", stops, heavy)
     return marked.where("_stop IS NULL").select(*df.columns)
 
 
@@ -79,7 +82,7 @@ def _content_rows(
     rows = keep_pos(_remove_punct(parsed, remove_punct), pos_keep)
     place = [c for c in ("sentence_id", "token_id") if c in parsed.columns]
     strip = heb_lemma and strip_trailing_punct
-    cleaned = strip_punct(value) if strip else F.col(value)
+    cleaned = once(strip_punct(value)) if strip else F.col(value)
     rows = rows.select(*key_columns(parsed), *place, cleaned.alias("token"))
     return drop_emptied(rows, "token") if strip else rows
 
@@ -181,13 +184,18 @@ def _bucket(feature: Column) -> Column:
 
 
 def feature_index(counts: DataFrame) -> DataFrame:
-    """``feature, feature_index``: every feature numbered from 0 without gaps.
+    """``feature, n_documents, feature_index``: every feature numbered from 0 on.
 
     Numbers follow the first three hex digits of the feature's MD5, then the
     feature. That order needs no global sort: each of the 4096 buckets is numbered
-    by itself and starts where the sizes of those before it end.
+    by itself and starts where the sizes of those before it end. The vocabulary is
+    checkpointed, since sizes and numbers both come from it.
     """
-    words = featnames(counts).select("feature", _bucket(F.col("feature")).alias("_bucket"))
+    words = materialize(
+        counts.groupBy("feature")
+        .agg(F.count(F.lit(1)).alias("n_documents"))
+        .withColumn("_bucket", _bucket(F.col("feature")))
+    )
     sizes = words.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # One window over at most 4096 rows, and a broadcast of as many.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -198,7 +206,11 @@ def feature_index(counts: DataFrame) -> DataFrame:
     return (
         words.withColumn("_rank", rank)
         .join(F.broadcast(starts), "_bucket")
-        .select("feature", (F.col("_start") + F.col("_rank") - 1).alias("feature_index"))
+        .select(
+            "feature",
+            "n_documents",
+            (F.col("_start") + F.col("_rank") - 1).alias("feature_index"),
+        )
     )
 
 
@@ -215,11 +227,15 @@ def dfm_vectors(
     features than that, each document is one row. No row can outgrow its block, not
     even a document that uses every feature.
 
-    Pass ``docs`` (:func:`dfm_documents`) to have empty rows for documents without
-    counts.
+    ``counts`` is read several times. Without an ``index`` it is checkpointed first
+    and the index is made from it; a caller that has both stored passes both. Pass
+    ``docs`` (:func:`dfm_documents`) to have empty rows for documents without counts.
     """
-    index = feature_index(counts) if index is None else index
-    entries = attach_by_word(counts, "feature", index)
+    if index is None:
+        counts = materialize(counts)
+        index = materialize(feature_index(counts))
+    heavy = heavy_words(index, "feature", "n_documents")
+    entries = attach_by_word(counts, "feature", index.drop("n_documents"), heavy)
     block = F.floor(F.col("feature_index") / F.lit(features_per_block)).cast("int")
     rows = (
         entries.groupBy("doc_id", block.alias("block"))

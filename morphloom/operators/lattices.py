@@ -10,7 +10,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from morphloom.functions import int_or_null, line_fields, sentence_blocks, sentence_lines
+from morphloom.functions import (
+    int_or_null,
+    line_fields,
+    once,
+    sentence_blocks,
+    sentence_lines,
+)
 from morphloom.functions.text import _col
 from morphloom.schemas import DEP_COLUMNS, MD_COLUMNS, key_columns, require_columns
 
@@ -18,23 +24,25 @@ from morphloom.schemas import DEP_COLUMNS, MD_COLUMNS, key_columns, require_colu
 ROWS_PER_BLOCK = 100_000
 
 
-def _explode_lattice(df: DataFrame, col: str, names: Sequence[str]) -> DataFrame:
+def _explode_lattice(
+    df: DataFrame, col: str, names: Sequence[str], upto: int | None = None
+) -> DataFrame:
     require_columns(df, "doc_id", col)
     keys = key_columns(df)
-    rows = (
-        df.select(*keys, sentence_blocks(col).alias("_blocks"))
-        .select(*keys, F.posexplode("_blocks").alias("_s", "_block"))
-        # Fields are split before the generator: filters that come later then test
-        # a finished array instead of splitting the line a second time.
-        .select(
-            *keys, "_s", F.transform(sentence_lines("_block"), lambda x: line_fields(x)).alias("_lines")
-        )
-        .select(*keys, "_s", F.posexplode("_lines").alias("_p", "_f"))
+    # The arrays are written inside the generators: on a column that holds the array,
+    # Spark infers a "not empty" filter and builds the array once more for it.
+    lines = df.select(*keys, F.posexplode(sentence_blocks(col)).alias("_s", "_block")).select(
+        *keys, "_s", F.posexplode(sentence_lines("_block")).alias("_p", "_line")
     )
+    fields = line_fields("_line", upto)
+    if upto is not None:
+        # Meant for filtering by several conditions; each would split the line again.
+        fields = once(fields)
+    rows = lines.select(*keys, "_s", "_p", fields.alias("_f"))
     return rows.select(
         *keys,
         (F.col("_s") + 1).alias("sentence_id"),
-        *[F.get("_f", F.lit(i)).alias(n) for i, n in enumerate(names)],
+        *[F.get("_f", F.lit(i)).alias(n) for i, n in enumerate(names[:upto])],
         (F.col("_p") + 1).alias("position"),
     )
 
@@ -67,52 +75,88 @@ def morphemes(decoded: DataFrame, dependency: bool = False) -> DataFrame:
     tree get NULL, tree rows beyond the lattice are dropped.
     """
     if not dependency:
-        md = explode_md(decoded)
-        return _project(md, key_columns(md), F.col("position"))
+        return morpheme_table(explode_md(decoded))
 
-    require_columns(decoded, "doc_id", "md_lattice", "dep_tree")
     keys = key_columns(decoded)
     rows = (
-        # Both sides are split before anything is exploded, once per document.
-        decoded.select(
+        _sentence_pairs(decoded)
+        .select(
             *keys,
-            sentence_blocks("md_lattice").alias("md"),
-            _or_empty(sentence_blocks("dep_tree")).alias("dep"),
+            "_s",
+            F.posexplode(
+                _zip(sentence_lines("_md"), sentence_lines("_dep"))
+            ).alias("_p", "_pair"),
         )
-        .select(*keys, F.posexplode(F.arrays_zip("md", "dep")).alias("_s", "_pair"))
-        .where("_pair.md IS NOT NULL")
+        .where(_left("_pair").isNotNull())
         .select(
             *keys,
             "_s",
-            F.transform(sentence_lines("_pair.md"), lambda x: line_fields(x)).alias("md"),
-            _or_empty(
-                F.transform(sentence_lines("_pair.dep"), lambda x: line_fields(x)), "array<array<string>>"
-            ).alias("dep"),
+            "_p",
+            line_fields(_left("_pair")).alias("_f"),
+            line_fields(_right("_pair")).alias("_d"),
         )
-        .select(*keys, "_s", F.posexplode(F.arrays_zip("md", "dep")).alias("_p", "_pair"))
-        .where("_pair.md IS NOT NULL")
     )
     md = rows.select(
         *keys,
         (F.col("_s") + 1).alias("sentence_id"),
-        *[F.get("_pair.md", F.lit(i)).alias(n) for i, n in enumerate(MD_COLUMNS)],
+        *[F.get("_f", F.lit(i)).alias(n) for i, n in enumerate(MD_COLUMNS)],
         (F.col("_p") + 1).alias("position"),
-        int_or_null(F.get("_pair.dep", F.lit(DEP_COLUMNS.index("head")))).alias("head"),
-        F.get("_pair.dep", F.lit(DEP_COLUMNS.index("deprel"))).alias("deprel"),
+        int_or_null(F.get("_d", F.lit(DEP_COLUMNS.index("head")))).alias("head"),
+        F.get("_d", F.lit(DEP_COLUMNS.index("deprel"))).alias("deprel"),
+    )
+    return morpheme_table(md)
+
+
+def content_morphemes(decoded: DataFrame) -> DataFrame:
+    """The morpheme table up to ``pos``: all that counting needs, at half the cost."""
+    require_columns(decoded, "doc_id", "md_lattice")
+    upto = MD_COLUMNS.index("cpostag") + 1
+    return _explode_lattice(decoded, "md_lattice", MD_COLUMNS, upto).select(
+        *key_columns(decoded),
+        "sentence_id",
+        F.col("position").alias("token_id"),
+        "token",
+        "lemma",
+        F.col("cpostag").alias("pos"),
+    )
+
+
+def _sentence_pairs(decoded: DataFrame) -> DataFrame:
+    """One row per lattice sentence: its text and that of the same-numbered tree."""
+    require_columns(decoded, "doc_id", "md_lattice", "dep_tree")
+    keys = key_columns(decoded)
+    return (
+        decoded.select(
+            *keys,
+            F.posexplode(_zip(sentence_blocks("md_lattice"), sentence_blocks("dep_tree"))).alias(
+                "_s", "_pair"
+            ),
+        )
+        .where(_left("_pair").isNotNull())
+        .select(*keys, "_s", _left("_pair").alias("_md"), _right("_pair").alias("_dep"))
     )
-    return _project(md, keys, F.col("position"))
 
 
-def _or_empty(array: Column, type_: str = "array<string>") -> Column:
-    return F.coalesce(array, F.array().cast(type_))
+def _zip(left: Column, right: Column) -> Column:
+    """Pairs by place, the shorter side filled with NULL; NULL only if ``left`` is."""
+    return F.arrays_zip(left, F.coalesce(right, F.array().cast("array<string>")))
 
 
-def _project(md: DataFrame, keys: Sequence[str], token_id: Column) -> DataFrame:
-    """The output columns of a morpheme table; lattice edges are left out."""
+def _left(pair: str) -> Column:
+    return F.col(pair).getField("0")
+
+
+def _right(pair: str) -> Column:
+    return F.col(pair).getField("1")
+
+
+def morpheme_table(md: DataFrame) -> DataFrame:
+    """Exploded (and possibly joined) lattice rows under the names of the morpheme
+    table; lattice edges and word numbers are left out."""
     cols = [
-        *[F.col(k) for k in keys],
+        *[F.col(k) for k in key_columns(md)],
         F.col("sentence_id"),
-        token_id.alias("token_id"),
+        F.col("position").alias("token_id"),
         F.col("token"),
         F.col("lemma"),
         F.col("cpostag").alias("pos"),
@@ -124,11 +168,6 @@ def _project(md: DataFrame, keys: Sequence[str], token_id: Column) -> DataFrame:
     return md.select(*cols)
 
 
-def morpheme_table(md: DataFrame) -> DataFrame:
-    """Exploded (and possibly joined) lattice rows to the morpheme table."""
-    return _project(md, key_columns(md), F.col("position"))
-
-
 def attach_dependencies(md: DataFrame, dep: DataFrame) -> DataFrame:
     """Join two exploded tables by document, sentence and position.
 
@@ -159,24 +198,12 @@ def alignment_report(md: DataFrame, dep: DataFrame) -> DataFrame:
 
 def response_alignment(decoded: DataFrame) -> DataFrame:
     """:func:`alignment_report` straight from decoded responses, without a shuffle."""
-    require_columns(decoded, "doc_id", "md_lattice", "dep_tree")
     keys = key_columns(decoded)
-    pairs = (
-        decoded.select(
-            *keys,
-            sentence_blocks("md_lattice").alias("md"),
-            _or_empty(sentence_blocks("dep_tree")).alias("dep"),
-        )
-        .select(*keys, F.posexplode(F.arrays_zip("md", "dep")).alias("_s", "_pair"))
-        .where("_pair.md IS NOT NULL")
-        .select(
-            *keys,
-            (F.col("_s") + 1).alias("sentence_id"),
-            F.size(sentence_lines("_pair.md")).cast("bigint").alias("n_md"),
-            F.coalesce(F.array_size(sentence_lines("_pair.dep")), F.lit(0))
-            .cast("bigint")
-            .alias("n_dep"),
-        )
+    pairs = _sentence_pairs(decoded).select(
+        *keys,
+        (F.col("_s") + 1).alias("sentence_id"),
+        F.size(sentence_lines("_md")).cast("bigint").alias("n_md"),
+        F.coalesce(F.array_size(sentence_lines("_dep")), F.lit(0)).cast("bigint").alias("n_dep"),
     )
     return _with_status(pairs, [*keys, "sentence_id"])
 

@@ -22,30 +22,31 @@ def is_small(words: DataFrame, col: str) -> bool:
     return rows <= BROADCAST_ROWS and chars <= BROADCAST_CHARS
 
 
-def attach_by_word(
-    fact: DataFrame, col: str, table: DataFrame, heavy_words: int = HEAVY_WORDS
-) -> DataFrame:
+def heavy_words(counts: DataFrame, col: str, n: str, limit: int = HEAVY_WORDS) -> DataFrame:
+    """The ``limit`` rows of a word table with the highest counts: a fixed size."""
+    return counts.where(F.length(col) <= HEAVY_LENGTH).orderBy(F.desc(n), col).limit(limit)
+
+
+def attach_by_word(fact: DataFrame, col: str, table: DataFrame, heavy: DataFrame) -> DataFrame:
     """Left join ``table``, unique in ``col`` and of any size, to ``fact`` by a word.
 
     A plain join would send all rows of the commonest word to one task. Here the
-    ``heavy_words`` most frequent words of ``fact`` are looked up by a broadcast of
-    that fixed size. Every other word makes up less than one row in
-    ``heavy_words``, so the shuffle join for the rest is even. Rows that are already
-    looked up go through it under spread-out keys that match nothing.
+    most frequent words of ``fact`` come with their values in ``heavy``, a table of
+    fixed size (:func:`heavy_words`) that is broadcast. Any other word then makes up
+    at most one in as many rows of ``fact``, so the shuffle join for the rest is
+    even. Rows that are already looked up go through it under spread-out keys that
+    match nothing.
     """
     values = [c for c in table.columns if c != col]
-    heavy = (
-        fact.where(F.length(col) <= HEAVY_LENGTH)
-        .groupBy(col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), col)
-        .limit(heavy_words)
-        .select(F.col(col).alias("_heavy"))
-    )
-    looked_up = heavy.join(table, F.col("_heavy") == F.col(col), "left").select(
-        "_heavy", *[F.col(v).alias(f"_heavy_{v}") for v in values]
+    first = fact.join(
+        F.broadcast(
+            heavy.select(
+                F.col(col).alias("_heavy"), *[F.col(v).alias(f"_heavy_{v}") for v in values]
+            )
+        ),
+        F.col(col) == F.col("_heavy"),
+        "left",
     )
-    first = fact.join(F.broadcast(looked_up), F.col(col) == F.col("_heavy"), "left")
     done = F.col("_heavy").isNotNull()
     keyed = first.select(
         "*",

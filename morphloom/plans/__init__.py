@@ -1,6 +1,6 @@
 """Whole jobs put together from the operators."""
 
-from morphloom.plans.checkpoints import materialize
+from morphloom.operators.checkpoints import materialize
 from morphloom.plans.parsing import parse, parse_dependencies
 from morphloom.plans.texts import text_to_dfm, text_to_tokens
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from morphloom.operators.annotation import Annotator, annotate, decode_responses
 from morphloom.operators.lattices import ambiguous_lattices, morphemes
-from morphloom.plans.checkpoints import materialize
+from morphloom.operators.checkpoints import materialize
 
 
 def _decoded(

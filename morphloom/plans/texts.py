@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 
 from morphloom.operators.annotation import Annotator
 from morphloom.operators.features import parsed_to_dfm
+from morphloom.operators.lattices import content_morphemes
 from morphloom.operators.tokens import lattice_tokens
-from morphloom.plans.parsing import _decoded, parse
+from morphloom.plans.parsing import _decoded
 
 
 def text_to_dfm(
@@ -24,8 +25,10 @@ def text_to_dfm(
     The source is that of :func:`morphloom.plans.parse`, the options are those of
     :func:`morphloom.operators.content_tokens`.
     """
-    parsed = parse(source, annotator_factory, pre_tokenized=pre_tokenized, on_error=on_error)
-    return parsed_to_dfm(parsed, **options)
+    decoded = _decoded(
+        source, annotator_factory, pre_tokenized, on_error, ("md_lattice",)
+    )
+    return parsed_to_dfm(content_morphemes(decoded), **options)
 
 
 def text_to_tokens(
