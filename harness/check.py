@@ -43,12 +43,15 @@ def compare(spark: SparkSession, con, sf: str, name: str) -> str | None:
         return f"types {types}"
     if got.num_rows != want.num_rows:
         return f"rows {got.num_rows} / {want.num_rows}"
-    order = lambda r: tuple((v is not None, v) for v in r)
-    a = sorted(zip(*(got.column(c).to_pylist() for c in cols)), key=order)
-    b = sorted(zip(*(want.column(c).to_pylist() for c in cols)), key=order)
-    for x, y in zip(a, b):
-        if x != y:
-            return f"values {x} / {y}"
+    listed = ", ".join(f'"{c}"' for c in cols)
+    con.register("got", got)
+    con.register("want", want)
+    for left, right in (("got", "want"), ("want", "got")):
+        extra = con.sql(
+            f"SELECT {listed} FROM {left} EXCEPT ALL SELECT {listed} FROM {right} LIMIT 2"
+        ).fetchall()
+        if extra:
+            return f"only in {left}: {extra}"
     return None
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import morphloom as m
+from harness import stub
 from harness.stub import make_annotator, stub_annotated
 
+# Workers need not have this folder on their path: the annotator travels with the job.
+cloudpickle.register_pickle_by_value(stub)
+
 DOC_FIELDS = ("md_lattice", "dep_tree", "ma_lattice", "segmented_text")
 
 
