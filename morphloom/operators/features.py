@@ -51,14 +51,14 @@ def remove_stopwords(
             return df
         stopwords = df.sparkSession.createDataFrame([(w,) for w in words], "word string")
     require_columns(stopwords, "word")
-    words = stopwords.select(F.lower("word").alias("_word")).where("_word IS NOT NULL").distinct()
+    words = stopwords.select(F.lower("word").alias("_word")).where("_word IS NOT NULL")
     folded = F.lower(F.col(col))
     small = is_small(words, "_word")
     if small or df.isStreaming:
         words = F.broadcast(words) if small else words
         return df.join(words, folded == F.col("_word"), "left_anti")
     rows = df.withColumn("_word", folded)
-    stops = words.withColumn("_stop", F.lit(True))
+    stops = words.distinct().withColumn("_stop", F.lit(True))
     counted = rows.groupBy("_word").agg(F.count(F.lit(1)).alias("_n"))
     heavy = heavy_words(counted, "_word", "_n").join(stops, "_word", "left")
     marked = attach_by_word(rows, "_word", stops, heavy)

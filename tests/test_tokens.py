@@ -1,0 +1,148 @@
+import random
+
+import pytest
+
+import morphloom as m
+from fixtures import BOYS, DAY, lattice, lists, morpheme_table, tagged
+
+SENTENCE = [("halak", "VB"), ("yom", "NN"), ("yafe", "JJ"), (".", "yyDOT")]
+
+
+def test_one_list_per_document(spark):
+    df = tagged(
+        spark,
+        a=[("ha", "DEF"), ("yeled", "NN"), ("halak", "VB")],
+        b=[("yom", "NN"), ("yafe", "JJ")],
+    )
+    tokens = m.as_tokens(df, use_lemma=True)
+    assert lists(tokens) == {"a": ["ha", "yeled", "halak"], "b": ["yom", "yafe"]}
+    assert m.doc_count(tokens).first().n_documents == 2
+    assert sorted(r.doc_id for r in m.doc_names(tokens).collect()) == ["a", "b"]
+
+
+def test_punctuation_is_removed(spark):
+    df = tagged(spark, a=SENTENCE)
+    assert lists(m.as_tokens(df, use_lemma=True, remove_punct=True)) == {"a": ["halak", "yom", "yafe"]}
+
+
+def test_tags_are_kept(spark):
+    df = tagged(spark, a=SENTENCE)
+    assert lists(m.as_tokens(df, pos_keep=["NN"])) == {"a": ["yom"]}
+    assert lists(m.as_tokens(df, pos_keep="NN")) == {"a": ["yom"]}
+    assert lists(m.as_tokens(df, pos_keep=[])) == {}
+
+
+def test_defaults_of_both_entry_points(spark):
+    rows = [("a", 1, 1, "Hlk", "hlk", "VB"), ("a", 1, 2, "!", "!", "yyEXCL")]
+    df = morpheme_table(spark, rows)
+    assert lists(m.as_tokens(df)) == {"a": ["Hlk", "!"]}
+    assert lists(m.to_tokens(df)) == {"a": ["hlk"]}
+
+
+def test_rows_without_a_tag(spark):
+    df = tagged(spark, a=[("x", None), ("y", "yyDOT"), ("z", "NN"), ("w", "YY")])
+    assert sorted(r.token for r in m.remove_punct(df).collect()) == ["w", "x", "z"]
+    assert [r.token for r in m.keep_pos(df, ["NN"]).collect()] == ["z"]
+    assert m.keep_pos(df, None).count() == 4
+
+
+def test_tables_without_tags_are_not_filtered(spark):
+    df = tagged(spark, a=SENTENCE).drop("pos")
+    assert m.remove_punct(df).count() == m.keep_pos(df, ["NN"]).count() == 4
+
+
+def test_missing_value_column(spark):
+    with pytest.raises(ValueError, match="lemma"):
+        m.as_tokens(tagged(spark, a=SENTENCE).drop("lemma"), use_lemma=True)
+
+
+def test_empty_tokens_go_but_the_document_stays(spark):
+    df = morpheme_table(
+        spark,
+        [
+            ("a", 1, 1, "x", None, "NN"),
+            ("a", 1, 2, "y", "", "NN"),
+            ("b", 1, 1, "z", "z", "VB"),
+        ],
+    )
+    assert lists(m.as_tokens(df, use_lemma=True)) == {"a": [], "b": ["z"]}
+    # A document that loses all rows to the filters is gone.
+    assert lists(m.as_tokens(df, use_lemma=True, pos_keep=["NN"])) == {"a": []}
+
+
+def test_reading_order(spark):
+    rows = [("a", s, t, f"{s}.{t}", "x", "NN") for s in range(1, 13) for t in range(1, 13)]
+    want = [r[3] for r in rows]
+    random.Random(1).shuffle(rows)
+    assert lists(m.as_tokens(morpheme_table(spark, rows))) == {"a": want}
+
+
+@pytest.mark.parametrize("sentences_per_part", [1, 2, 5, 100])
+def test_long_documents_come_in_parts(spark, sentences_per_part):
+    rows = [("a", s, t, f"{s}.{t}", "x", "NN") for s in range(1, 12) for t in (1, 2)]
+    tokens = m.as_tokens(morpheme_table(spark, rows), sentences_per_part=sentences_per_part)
+    assert tokens.count() == -(-11 // sentences_per_part)
+    assert max(len(r.tokens) for r in tokens.collect()) <= 2 * sentences_per_part
+    assert lists(tokens) == {"a": [r[3] for r in rows]}
+
+
+def test_repeated_ids_with_an_order(spark):
+    rows = spark.createDataFrame(
+        [("a", lattice(DAY), 2), ("a", lattice(BOYS), 1)],
+        "doc_id string, md_lattice string, doc_order int",
+    )
+    for tokens in (m.as_tokens(m.parse(rows)), m.lattice_tokens(rows)):
+        got = [r.tokens for r in tokens.orderBy("doc_order").collect()]
+        assert [len(t) for t in got] == [6, 3] and got[1] == ["ywm", "yph", "."]
+        assert m.doc_count(tokens).first().n_documents == 1
+
+
+def test_concatenator_is_metadata(spark):
+    tokens = m.as_tokens(tagged(spark, a=SENTENCE), concatenator="+")
+    assert tokens.schema["tokens"].metadata == {"concatenator": "+"}
+    assert m.to_tokens(tagged(spark, a=SENTENCE)).schema["tokens"].metadata == {"concatenator": "_"}
+
+
+@pytest.mark.parametrize("use_lemma", [False, True])
+@pytest.mark.parametrize("remove_punct", [False, True])
+@pytest.mark.parametrize("pos_keep", [None, ["NN", "yyDOT"], []])
+def test_lists_without_a_shuffle_are_the_same(spark, use_lemma, remove_punct, pos_keep):
+    rng = random.Random(3)
+    texts = []
+    for _ in range(60):
+        words = [
+            "\t".join(
+                [str(i), str(i + 1), rng.choice(["a", "b", ""]), rng.choice(["c", "", "d"])]
+                + rng.choice([[], ["NN", "NN"], ["yyDOT"], ["VB", "VB", "_", "1"], [""]])
+            )
+            for i in range(rng.randint(1, 4))
+        ]
+        texts.append("\n".join(w + rng.choice(["", "\n"]) for w in words))
+    rows = spark.createDataFrame(
+        [(str(i), t) for i, t in enumerate(texts)] + [("none", ""), ("null", None)],
+        "doc_id string, md_lattice string",
+    )
+    options = {"use_lemma": use_lemma, "remove_punct": remove_punct, "pos_keep": pos_keep}
+    assert lists(m.lattice_tokens(rows, **options)) == lists(m.as_tokens(m.parse(rows), **options))
+
+
+def test_token_rows(spark):
+    rows = m.token_rows(tagged(spark, a=SENTENCE), use_lemma=True, remove_punct=True)
+    assert rows.columns == ["doc_id", "sentence_id", "token_id", "token"]
+    assert [r.token for r in rows.orderBy("token_id").collect()] == ["halak", "yom", "yafe"]
+
+
+def test_relation_filter(spark):
+    df = tagged(spark, a=SENTENCE).selectExpr("*", "if(token = 'yom', 'subj', null) deprel")
+    assert [tuple(r) for r in m.relation_filter(df, "subj", ["doc_id", "token"]).collect()] == [("a", "yom")]
+    assert m.relation_filter(df, "subj").columns == df.columns
+
+
+def test_first_rows_and_summary(spark):
+    df = tagged(spark, b=SENTENCE, a=SENTENCE * 3)
+    assert [(r.doc_id, r.token_id) for r in m.first_n(df, 13).collect()] == [
+        *[("a", i) for i in range(1, 13)],
+        ("b", 1),
+    ]
+    assert m.first_n(df).count() == 10
+    assert m.summary(df).first() == (16, 2)
