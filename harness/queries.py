@@ -65,7 +65,8 @@ def word_table(spark, sf):
 
 
 def stoplist(spark, sf):
-    return m.stopwords(word_table(spark, sf), "en", "src0")
+    """Checkpointed, since its size is measured before it is used."""
+    return m.materialize(m.stopwords(word_table(spark, sf), "en", "src0"))
 
 
 # --- sources -------------------------------------------------------------------

@@ -172,12 +172,22 @@ def attach_dependencies(md: DataFrame, dep: DataFrame) -> DataFrame:
     """Join two exploded tables by document, sentence and position.
 
     For lattices and trees that are stored apart; when both are in one response,
-    :func:`morphemes` does the same without a shuffle. Positions are unique within
-    a sentence, so the join keys are never skewed; documents that share a
-    ``doc_id`` need ``doc_order`` on both sides.
+    :func:`morphemes` does the same without a shuffle. Documents that share a
+    ``doc_id`` need ``doc_order`` on both sides: a tree row whose place is taken
+    twice stops the job, since every copy would be joined with every other.
     """
     keys = [k for k in key_columns(md) if k in dep.columns] + ["sentence_id", "position"]
-    arcs = dep.select(*keys, int_or_null(F.col("head").cast("string")).alias("head"), "deprel")
+    # One row per place. The grouping partitions the rows as the join needs them.
+    arcs = dep.groupBy(*keys).agg(
+        F.first("head").alias("_head"),
+        F.first("deprel").alias("_deprel"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    repeated = F.raise_error(
+        F.concat(F.lit("several trees for document "), F.coalesce("doc_id", F.lit("NULL")))
+    ).cast("string")
+    head = F.when(F.col("_n") > 1, repeated).otherwise(F.col("_head").cast("string"))
+    arcs = arcs.select(*keys, int_or_null(head).alias("head"), F.col("_deprel").alias("deprel"))
     return md.join(arcs, keys, "left")
 
 

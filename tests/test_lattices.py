@@ -209,6 +209,19 @@ def test_repeated_ids_are_parsed_apart(spark):
     ).collect()} == {(1, 1, 3), (2, 1, 6)}
 
 
+def test_trees_of_repeated_ids_are_not_mixed(spark):
+    rows = spark.createDataFrame(
+        [("a", lattice(DAY), lattice(BOYS_TREE[:1]), 1), ("a", lattice(BOYS), lattice(BOYS_TREE), 2)],
+        "doc_id string, md_lattice string, dep_tree string, doc_order int",
+    )
+    with pytest.raises(Exception, match="several trees for document a"):
+        plain = rows.drop("doc_order")
+        m.attach_dependencies(m.explode_md(plain), m.explode_dep(plain)).collect()
+    joined = m.morpheme_table(m.attach_dependencies(m.explode_md(rows), m.explode_dep(rows)))
+    order = ["doc_order", "sentence_id", "token_id"]
+    assert joined.orderBy(*order).collect() == m.parse(rows, dependency=True).orderBy(*order).collect()
+
+
 def test_batches_can_be_put_together(spark):
     one = m.parse(decoded(spark, (lattice(BOYS), None)))
     two = m.parse(decoded(spark, (lattice(DAY), None)))
