@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from morphloom.functions import is_punct, lattice_lines, line_fields
+from morphloom.functions import is_punct, lattice_lines, line_fields, once
 from morphloom.schemas import MD_COLUMNS, key_columns, require_columns
 
 # Sentences of one document whose tokens share one array; see as_tokens.
@@ -14,6 +14,9 @@ SENTENCES_PER_PART = 10_000
 
 _POSITION = ("sentence_id", "token_id")
 
+# Marks rows that a filter takes out. No token is a line break.
+_FILTERED = "\n"
+
 
 def remove_punct(df: DataFrame) -> DataFrame:
     """Drop punctuation rows; rows without a tag stay."""
@@ -138,29 +141,26 @@ def lattice_tokens(
     pos_at = MD_COLUMNS.index("cpostag")
     value_at = MD_COLUMNS.index("lemma" if use_lemma else "token")
 
-    def keep(fields: Column) -> Column:
+    def value(fields: Column) -> Column:
+        text = F.coalesce(F.get(fields, F.lit(value_at)), F.lit(""))
         pos = F.get(fields, F.lit(pos_at))
-        wanted = F.lit(True)
+        wanted = None
         if remove_punct:
             wanted = ~is_punct(pos)
         if pos_keep is not None:
-            wanted = wanted & F.coalesce(pos.isin(*_tags(pos_keep)), F.lit(False))
-        return wanted
+            tagged = F.coalesce(pos.isin(*_tags(pos_keep)), F.lit(False))
+            wanted = tagged if wanted is None else wanted & tagged
+        return text if wanted is None else F.when(wanted, text).otherwise(_FILTERED)
 
-    lines = F.transform(
+    fields = F.transform(
         lattice_lines("md_lattice"), lambda line: line_fields(line, upto=pos_at + 1)
     )
-    if remove_punct or pos_keep is not None:
-        lines = F.filter(lines, keep)
-    # An inner generator of one element is a filter that Spark cannot push below
-    # the arrays, so they are built only once.
-    rows = decoded.select(
-        *keys, F.transform(lines, lambda f: F.get(f, F.lit(value_at))).alias("_values")
-    ).select(*keys, F.explode(F.when(F.size("_values") > 0, F.array("_values"))).alias("_values"))
-    tokens = rows.select(
-        *keys,
-        F.lit(0).alias("part"),
-        F.filter("_values", usable).alias("tokens"),
+    kept = F.array_remove(F.transform(fields, lambda f: value(f)), _FILTERED)
+    # As the element of a generator the array is built once, not again for the filter.
+    tokens = (
+        decoded.select(*keys, once(kept).alias("_kept"))
+        .where(F.size("_kept") > 0)
+        .select(*keys, F.lit(0).alias("part"), F.array_remove("_kept", "").alias("tokens"))
     )
     return _with_concatenator(tokens, concatenator)
 
