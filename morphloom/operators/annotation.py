@@ -106,7 +106,8 @@ def decode_responses(
     Only the named ``fields`` are taken out of the JSON; the parser skips the rest.
     An empty object, an empty body and ``[]`` or ``null`` are answers without
     content. Any other text that is no JSON object is malformed: the job fails, or
-    with ``'keep'`` the row gets NULL fields and a message in ``error``.
+    with ``'keep'`` the row gets NULL fields and a message in ``error``. An ``error``
+    that is already there, from :func:`annotate`, counts like a malformed answer.
     """
     keep = _policy(on_error)
     require_columns(df, "doc_id", "response")
@@ -136,6 +137,9 @@ def decode_responses(
         if had_error:
             error = F.coalesce(F.col("error"), error)
         return parsed.select(*keys, *values, error.alias("error"))
+    if had_error:
+        message = F.coalesce("error", message)
+        bad = bad | F.col("error").isNotNull()
     values = [
         F.when(bad, F.raise_error(message).cast("string")).otherwise(F.col("_json")[f]).alias(f)
         for f in fields

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_ROWS = 1_000_000
 BROADCAST_CHARS = 32_000_000
 
-# Words looked up by broadcast because they are frequent, and their longest length.
+# A word is heavy if at least one row in this many has it, so there are at most this
+# many heavy words. Longer ones than HEAVY_LENGTH are not broadcast.
 HEAVY_WORDS = 10_000
 HEAVY_LENGTH = 200
 
@@ -16,25 +17,29 @@ _SPREAD = 4096
 
 
 def is_small(words: DataFrame, col: str) -> bool:
-    """Whether a word table is safe to broadcast. Reads at most BROADCAST_ROWS + 1 rows."""
-    probe = words.select(F.octet_length(col).alias("_n")).limit(BROADCAST_ROWS + 1)
-    rows, chars = probe.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    """Whether a word table is safe to broadcast: its rows and characters, counted."""
+    rows, chars = words.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(col)), F.lit(0))
+    ).first()
     return rows <= BROADCAST_ROWS and chars <= BROADCAST_CHARS
 
 
 def heavy_words(counts: DataFrame, col: str, n: str, limit: int = HEAVY_WORDS) -> DataFrame:
-    """The ``limit`` rows of a word table with the highest counts: a fixed size."""
-    return counts.where(F.length(col) <= HEAVY_LENGTH).orderBy(F.desc(n), col).limit(limit)
+    """The words of a table of counts that have at least a ``limit``-th of the total.
+
+    There cannot be more than ``limit`` of them, whatever the data.
+    """
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    return counts.where((F.length(col) <= HEAVY_LENGTH) & (F.col(n) * F.lit(limit) >= total))
 
 
 def attach_by_word(fact: DataFrame, col: str, table: DataFrame, heavy: DataFrame) -> DataFrame:
     """Left join ``table``, unique in ``col`` and of any size, to ``fact`` by a word.
 
     A plain join would send all rows of the commonest word to one task. Here the
-    most frequent words of ``fact`` come with their values in ``heavy``, a table of
-    fixed size (:func:`heavy_words`) that is broadcast. Any other word then makes up
-    at most one in as many rows of ``fact``, so the shuffle join for the rest is
-    even. Rows that are already looked up go through it under spread-out keys that
+    heavy words of ``fact`` (:func:`heavy_words`) come with their values in
+    ``heavy``, whose size is bounded and which is broadcast. Any other word makes up
+    less than one in HEAVY_WORDS rows, so the shuffle join for the rest is even. Rows that are already looked up go through it under spread-out keys that
     match nothing.
     """
     values = [c for c in table.columns if c != col]

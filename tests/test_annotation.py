@@ -81,6 +81,22 @@ def test_failure_can_be_kept_as_data(spark):
     }
 
 
+def test_kept_failures_are_not_lost_unnoticed(spark):
+    out = m.annotate(docs(spark, ("a", "good"), ("b", "bad")), failing, on_error="keep")
+    with pytest.raises(Exception, match="no analysis"):
+        m.parse(out).collect()
+    assert m.parse(out, on_error="keep").count() == 0
+
+
+def test_order_column_is_carried(spark):
+    src = spark.createDataFrame([("a", "x", 2), ("a", "y", 1)], "id string, body string, place int")
+    out = m.annotate(m.documents(src, "id", "body", "place"), lambda: lambda wire: wire)
+    assert {tuple(r) for r in out.collect()} == {("a", 2, "x\n\n"), ("a", 1, "y\n\n")}
+    assert m.decode_responses(out, "keep", ("md_lattice",)).columns == [
+        "doc_id", "doc_order", "md_lattice", "error",
+    ]
+
+
 def test_unknown_policy_or_field(spark):
     with pytest.raises(ValueError):
         m.annotate(docs(spark, ("a", "x")), failing, on_error="ignore")

@@ -165,6 +165,16 @@ def test_stopword_list_too_big_to_broadcast(spark, monkeypatch, heavy, stops):
     assert sorted(map(tuple, left.collect())) == sorted(r for r in rows if r[3] not in stops)
 
 
+@pytest.mark.parametrize("limit", [1, 2, 3, 10, 10_000])
+def test_heavy_words_are_bounded(spark, limit):
+    _, df = skewed(spark)
+    counted = df.groupBy("token").agg(F.count("*").alias("n"))
+    heavy = {r.token for r in skew.heavy_words(counted, "token", "n", limit).collect()}
+    assert len(heavy) <= limit
+    assert all(r.n * limit < 3000 for r in counted.collect() if r.token not in heavy)
+    assert skew.heavy_words(counted.limit(0), "token", "n").count() == 0
+
+
 def test_size_check(spark, monkeypatch):
     table = spark.createDataFrame([("a" * 50,), ("b" * 50,)], "word string")
     assert skew.is_small(table, "word") and skew.is_small(table.limit(0), "word")
