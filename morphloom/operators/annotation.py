@@ -121,18 +121,19 @@ def decode_responses(
     parsed = df.select(
         *keys,
         F.from_json("response", schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_json"),
-        # A body of blanks only is dropped by from_json without a trace.
-        (F.rlike("response", F.lit(r"\A\s+\z"))).alias("_blank"),
+        F.octet_length("response").alias("_size"),
         *([F.col("error")] if had_error else []),
     )
     corrupt = F.col("_json._corrupt")
-    bad = (corrupt.isNotNull() & ~F.btrim(corrupt).isin("[]", "null")) | F.col("_blank")
+    # A body of blanks only gives no object and no trace of it either.
+    blank = F.col("_json").isNull() & (F.coalesce("_size", F.lit(0)) > 0)
+    bad = (corrupt.isNotNull() & ~F.btrim(corrupt).isin("[]", "null")) | blank
     message = F.concat(
         F.lit("malformed response of document "),
         F.coalesce("doc_id", F.lit("NULL")),
     )
     if keep:
-        values = [F.when(~bad | bad.isNull(), F.col("_json")[f]).alias(f) for f in fields]
+        values = [F.when(~bad, F.col("_json")[f]).alias(f) for f in fields]
         error = F.when(bad, message)
         if had_error:
             error = F.coalesce(F.col("error"), error)
