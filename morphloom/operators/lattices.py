@@ -177,8 +177,9 @@ def attach_dependencies(md: DataFrame, dep: DataFrame) -> DataFrame:
     twice stops the job, since every copy would be joined with every other.
     """
     keys = [k for k in key_columns(md) if k in dep.columns] + ["sentence_id", "position"]
-    # One row per place. The grouping partitions the rows as the join needs them.
-    arcs = dep.groupBy(*keys).agg(
+    # One row per place. Places hardly repeat, so nothing is combined before the shuffle,
+    # and the grouping and the join share its partitioning and sort order.
+    arcs = dep.repartition(*keys).groupBy(*keys).agg(
         F.first("head").alias("_head"),
         F.first("deprel").alias("_deprel"),
         F.count(F.lit(1)).alias("_n"),
