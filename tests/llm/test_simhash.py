@@ -1,0 +1,121 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from morphloom.llm import common, simhash as sh
+
+SCHEMA = "doc_id long, text string"
+
+
+def brute_fingerprint(text):
+    words, w = [], ""
+    for c in (text or "") + " ":
+        if c in " \t\n\v\f\r":
+            words += [w] if w else []
+            w = ""
+        else:
+            w += c.lower() if "A" <= c <= "Z" else c
+    if not words:
+        return 0
+    n = max(1, len(words) - 2)
+    hashes = [xxhash.xxh64(" ".join(words[i : i + 3]).encode(), seed=42).intdigest() for i in range(n)]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_components(rows):
+    fps = sorted({f for _, f in rows})
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(fps, 2):
+        if bin(a ^ b).count("1") <= 3:
+            root[find(a)] = find(b)
+    least = {}
+    for d, f in rows:
+        r = find(f)
+        if d is not None:
+            least[r] = min(d, least.get(r, d))
+    return [(d, f"{f:016x}", least.get(find(f))) for d, f in rows]
+
+
+def documents():
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(1, 60)))) for i in range(80)]
+    base = [rng.choice(words) for _ in range(300)]
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(300)] = "zz"
+        docs.append((1000 + i, " ".join(copy)))
+    docs += [(2000, None), (2001, " \t\n"), (2002, ""), (2003, "One"), (2004, "one\xa0two ONE"), (7, docs[7][1])]
+    docs += [(None, docs[3][1]), (None, "alone here now"), (2005, "ÉCOLE école \v A")]
+    rng.shuffle(docs)
+    return docs
+
+
+def test_against_brute_force(spark):
+    docs = documents()
+    want = brute_components([(d, brute_fingerprint(t)) for d, t in docs])
+    df = spark.createDataFrame(docs, SCHEMA).withColumn("fp", F.lit("clash"))
+    for block in (1024, 4):
+        got = [tuple(r) for r in sh.near_duplicates(df, block=block).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_five_positions_contain_a_set():
+    assert len(sh.POSITIONS) == 14
+    for five in itertools.combinations(range(8), 5):
+        assert any(set(p) <= set(five) for p in sh.POSITIONS)
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_links_of_dense_values(spark, block):
+    rng = np.random.default_rng(0)
+    center = rng.integers(0, 2**63)
+    values = {int(center)}
+    for _ in range(150):
+        x = int(center)
+        for b in rng.integers(0, 63, rng.integers(1, 5)):
+            x ^= 1 << int(b)
+        values.add(x)
+    values |= {int(v) for v in rng.integers(-(2**63), 2**63 - 1, 100)}
+    df = spark.createDataFrame([(v,) for v in values], "fp long")
+    roots = {r.node: r.root for r in common.components(sh.links(df, block=block)).collect()}
+    rows = [(i, v % 2**64) for i, v in enumerate(sorted(values))]
+    want = {}
+    for (i, v), (_, _, c) in zip(rows, brute_components(rows)):
+        want.setdefault(c, set()).add(sorted(values)[i])
+    got = {}
+    for v in values:
+        got.setdefault(roots.get(v, v), set()).add(v)
+    assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
+
+
+def test_components_of_a_long_chain(spark):
+    chain = [(i, i + 1) for i in range(200)] + [(500, 501), (501, 501)]
+    rows = common.components(spark.createDataFrame(chain, "a long, b long")).collect()
+    assert {(r.node, r.root) for r in rows} == {(i, 0) for i in range(201)} | {(500, 500), (501, 500)}
+
+
+def test_one_of_each(spark):
+    a, b = "one two three four five six", "quite another text of words"
+    rows = [(2, a), (1, a), (1, a), (3, b), (None, a), (None, "third text is here"), (4, None), (5, "")]
+    kept = sh.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(
+        [(1, a), (3, b), (None, "third text is here"), (4, None)], key=str
+    )
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert sh.near_duplicates(df).collect() == []
+    assert sh.one_of_each(df).collect() == []
