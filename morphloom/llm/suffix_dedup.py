@@ -196,7 +196,7 @@ def deep_shallow_sort(
     n = len(suffixes)
     order = np.arange(n)
     group = np.zeros(n, np.int64)  # start of the group that the place is in
-    active = order if n > 1 else order[:0]
+    active = np.arange(n if n > 1 else 0)
     at = 0
     while at < shallow and len(active):
         word = _words(text, suffixes[order[active]] + at)
