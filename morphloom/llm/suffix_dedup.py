@@ -36,7 +36,7 @@ SHALLOW = 16
 _SPAN = LENGTH - GRAM + 1  # grams in a string
 _CONTEXT = 88  # bytes of a context, padded to words of eight: LENGTH + _SPAN - 1 = 84
 _PAD = b"\0" * 128
-_POSITION_BITS = 30
+_CHUNK = 1 << 15  # positions hashed at once, so that the work stays in the cache
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -49,7 +49,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _POWERS = [np.uint64(p) for p in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
@@ -83,28 +83,39 @@ class Cell:
         self._anchors()
 
     def _anchors(self) -> None:
-        hashes = gram_hashes(self.data)
-        low = np.uint64((1 << _POSITION_BITS) - 1)
-        if len(hashes) > int(low):
-            raise ValueError("a cell holds over a gigabyte: raise the number of cells")
-        key = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-        width = 1
-        while width * 2 <= _SPAN:
-            key = np.minimum(key[: len(key) - width], key[width:])
-            width *= 2
-        key = np.minimum(key[: len(key) - (_SPAN - width)], key[_SPAN - width :])
-        valid = np.zeros(len(key) + 1, np.int8)
+        valid = np.zeros(len(self.data), np.int8)  # whether a string starts here
         long = self.ends - self.starts >= LENGTH
         np.add.at(valid, self.starts[long], 1)
         np.add.at(valid, self.ends[long] - LENGTH + 1, -1)
-        at = np.flatnonzero(np.cumsum(valid[:-1], dtype=np.int8))
-        anchor = (key[at] & low).astype(np.int64)
-        new = np.ones(len(at), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
+        valid = np.cumsum(valid, dtype=np.int8).view(bool)
+        low = np.uint64(2 * _CHUNK - 1)
+        places = np.arange(2 * _CHUNK, dtype=np.uint64)
+        runs = [np.zeros((0, 3), np.int64)], [np.zeros(0, np.uint64)]
+        for begin in range(0, len(self.data) - LENGTH, _CHUNK):
+            at = np.flatnonzero(valid[begin : begin + _CHUNK])
+            if not len(at):
+                continue
+            hashes = gram_hashes(self.data[begin : begin + _CHUNK + LENGTH])
+            key = (hashes & ~low) | places[: len(hashes)]
+            width = 1
+            while width * 2 <= _SPAN:
+                key = np.minimum(key[: len(key) - width], key[width:])
+                width *= 2
+            key = np.minimum(key[: len(key) - (_SPAN - width)], key[_SPAN - width :])
+            anchor = (key[at] & low).astype(np.int64)
+            new = np.ones(len(at), bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
+            place = np.flatnonzero(new)
+            count = np.diff(np.append(place, len(at)))
+            runs[0].append(np.column_stack([at[place] + begin, count, anchor[place] + begin]))
+            runs[1].append(hashes[anchor[place]])
+        (first, count, anchor), hashes = np.concatenate(runs[0]).T, np.concatenate(runs[1])
+        # a run that a chunk's end has cut is one run
+        new = np.ones(len(first), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (first[1:] != first[:-1] + count[:-1])
         place = np.flatnonzero(new)
-        self.hash = hashes[anchor[place]]
-        self.first = at[place]
-        self.count = np.diff(np.append(place, len(at)))
+        self.hash, self.first = hashes[place], first[place]
+        self.count = np.add.reduceat(count, place) if len(place) else count
         self.doc = np.searchsorted(self.ends, self.first, side="right")
 
     def contexts(self, which: np.ndarray) -> np.ndarray:
@@ -139,14 +150,15 @@ class Cell:
 def alike(rows: np.ndarray, count: np.ndarray) -> np.ndarray:
     """For each context the place of the first equal one, by 128 bits of hash."""
     words = np.ascontiguousarray(rows).view(np.uint64)
-    keys = []
-    for seed in (0x243F6A8885A308D3, 0x13198A2E03707344):
-        h = count.astype(np.uint64) + np.uint64(seed)
-        for i in range(words.shape[1]):
-            h = _mixed(h ^ words[:, i]) + np.uint64(seed)
-        keys.append(h)
-    order = np.lexsort((np.arange(len(count)), keys[1], keys[0]))
-    a, b = keys[0][order], keys[1][order]
+    one = two = count.astype(np.uint64)
+    for i in range(words.shape[1]):
+        word = words[:, i] * _BYTES[0]
+        word ^= word >> np.uint64(32)
+        one = one + word * _BYTES[2 * i + 1]
+        two = two + word * _BYTES[2 * i + 2]
+    one, two = _mixed(one), _mixed(two)
+    order = np.lexsort((two, one))  # stable, so the first of equal ones comes first
+    a, b = one[order], two[order]
     new = np.ones(len(order), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     first = np.empty(len(order), np.int64)
@@ -159,32 +171,32 @@ def _words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sliding_window_view(text, 8)[at].view(">u8")[:, 0].astype(np.uint64)
 
 
+def _equal_bytes(differ: np.ndarray) -> np.ndarray:
+    """Number of leading zero bytes of 64-bit words."""
+    # without the bit after the leading one the float cannot be rounded up
+    exponent = ((differ & ~(differ >> np.uint64(1))).astype(np.float64).view(np.int64) >> 52) - 1023
+    return np.where(differ == 0, 8, 7 - (exponent >> 3))
+
+
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray, depth: int):
     """Length of the common prefix, ``depth`` at most, of suffixes that agree up to ``known``."""
     lcp = known.copy()
     open_ = np.flatnonzero(lcp < depth)
     while len(open_):
-        differ = _words(text, a[open_] + lcp[open_]) ^ _words(text, b[open_] + lcp[open_])
-        equal = 8 - (_bit_length(differ) + 7) // 8  # leading zero bytes are equal bytes
-        lcp[open_] += equal
-        open_ = open_[(equal == 8) & (lcp[open_] < depth)]
+        at = lcp[open_]
+        equal = _equal_bytes(_words(text, a[open_] + at) ^ _words(text, b[open_] + at))
+        at += equal
+        lcp[open_] = at
+        open_ = open_[(equal == 8) & (at < depth)]
     return np.minimum(lcp, depth)
 
 
-def _bit_length(x: np.ndarray) -> np.ndarray:
-    n = np.zeros(len(x), np.int64)
-    for shift in (32, 16, 8, 4, 2, 1):
-        high = (x >> np.uint64(shift)) > 0
-        n[high] += shift
-        x = np.where(high, x >> np.uint64(shift), x)
-    return n + (x > 0)
-
-
 def deep_shallow_sort(
     text: np.ndarray, suffixes: np.ndarray, depth: int, shallow: int = SHALLOW
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Order of ``suffixes`` by their first ``depth`` bytes, and the common prefix of each
-    with the one before it (``depth`` at most). ``text`` ends in ``depth`` spare bytes.
+    """Order of ``suffixes`` by their first ``depth`` bytes, and for each place of it the
+    first place whose suffix has the same ``depth`` bytes, which begins an interval of
+    common prefixes of ``depth``. ``text`` ends in ``depth`` + 8 spare bytes.
 
     Shallow: multikey quicksort by words of eight bytes; only suffixes that are equal so
     far are compared by the next word, down to ``shallow`` bytes. Deep: the groups left
@@ -194,16 +206,16 @@ def deep_shallow_sort(
     equal strings ends at once.
     """
     n = len(suffixes)
-    order = np.arange(n)
-    group = np.zeros(n, np.int64)  # start of the group that the place is in
-    active = np.arange(n if n > 1 else 0)
-    at = 0
+    word = _words(text, suffixes)
+    order = np.argsort(word, kind="stable")
+    group = np.zeros(n, np.int64)  # the first place of the group
+    active = _split(group, np.arange(n), group, word[order])
+    at = 8
     while at < shallow and len(active):
-        word = _words(text, suffixes[order[active]] + at)
-        by = np.lexsort((word, group[active]))
+        word, parent = _words(text, suffixes[order[active]] + at), group[active]
+        by = np.lexsort((word, parent))
         order[active] = order[active[by]]
-        word, parent = word[by], group[active]
-        active = _split(group, active, parent, word)
+        active = _split(group, active, parent, word[by])
         at += 8
     known = np.full(len(active), at, np.int64)
     while len(active):
@@ -215,24 +227,19 @@ def deep_shallow_sort(
         node = np.repeat(np.minimum.reduceat(lcp, starts), sizes)
         going = node < depth
         active, node, here = active[going], node[going], here[going]
-        if not len(active):
-            break
-        byte = text[here + node].astype(np.int64)
-        by = np.lexsort((byte, group[active]))
+        byte, parent = text[here + node], group[active]
+        by = np.lexsort((byte, parent))
         order[active] = order[active[by]]
-        parent, byte, node = group[active], byte[by], node[by]
-        left = _split(group, active, parent, byte)
+        left = _split(group, active, parent, byte[by])
         known = node[np.searchsorted(active, left)] + 1
         active = left
-    lcp = np.zeros(n, np.int64)
-    if n > 1:
-        ordered = suffixes[order]
-        lcp[1:] = common_prefix(text, ordered[:-1], ordered[1:], lcp[1:], depth)
-    return order, lcp
+    return order, group
 
 
 def _split(group, active, parent, value):
     """Cut sorted groups where ``value`` changes; returns the places still in company."""
+    if not len(active):
+        return active
     new = np.ones(len(active), bool)
     new[1:] = (parent[1:] != parent[:-1]) | (value[1:] != value[:-1])
     starts = np.flatnonzero(new)
@@ -249,10 +256,10 @@ def earlier_starts(rows: np.ndarray, count: np.ndarray, ids: np.ndarray) -> np.n
     n = count[heads].astype(np.int64)
     owner = np.repeat(np.arange(len(heads)), n)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-    order, lcp = deep_shallow_sort(text, owner * _CONTEXT + offset, LENGTH)
+    order, group = deep_shallow_sort(text, owner * _CONTEXT + offset, LENGTH)
     least = np.full(len(heads), NO_ID, np.int64)
     np.minimum.at(least, place, ids)
-    interval = np.flatnonzero(lcp < LENGTH)  # equal strings are neighbours
+    interval = np.flatnonzero(group == np.arange(len(group)))
     smallest = np.minimum.reduceat(least[owner[order]], interval)
     sizes = np.diff(np.append(interval, len(order)))
     has = np.full((len(heads), _SPAN), NO_ID, np.int64)
@@ -434,14 +441,14 @@ def remove_repeats(docs: DataFrame, carry: bool = False, cells: int | None = Non
     document with a smaller ``doc_id``; strings are judged on the input and may overlap,
     and none crosses documents. ``carry`` adds ``left``, the text that is left (a
     character cut in part goes from it as a whole), and ``row``, the row of ``docs``.
-    ``cells`` (four per shuffle partition by default) bounds what a task holds and never
+    ``cells`` (two per shuffle partition by default) bounds what a task holds and never
     changes the result.
 
     A NULL text counts as empty. A NULL id counts as larger than any other. Rows with
     the same id count as one document's parts: none removes bytes of another. An empty
     table gives an empty result; other columns are ignored.
     """
-    cells = cells or 4 * partitions(docs.sparkSession)
+    cells = cells or 2 * partitions(docs.sparkSession)
     ids = F.col("doc_id").cast("long")
     placed = docs.select(
         F.pmod(F.xxhash64(ids), F.lit(cells)).cast("int").alias("cell"),
