@@ -5,22 +5,81 @@ from __future__ import annotations
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from morphloom.llm import common, simhash, suffix_dedup
+import public_tokenizers
+
+from morphloom.llm import (
+    common,
+    compression_quality,
+    langid,
+    pieces,
+    repetition,
+    simhash,
+    suffix_dedup,
+    token_blocks,
+    training,
+)
 from morphloom.llm.common import read
 
 # Workers need not have this folder on their path: these functions travel with the job.
-for _module in (common, simhash, suffix_dedup):
+for _module in (
+    common,
+    compression_quality,
+    langid,
+    pieces,
+    repetition,
+    simhash,
+    suffix_dedup,
+    token_blocks,
+    training,
+):
     cloudpickle.register_pickle_by_value(_module)
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+def op4_token_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_blocks.round_trip(read(spark, sf, "documents"), tokenizer)
+
+
+def op6_repetition(spark: SparkSession, sf: str) -> DataFrame:
+    return repetition.quality(read(spark, sf, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read(spark, sf, "documents"))
 
 
+def op8_compression_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    return compression_quality.score(
+        docs, compression_quality.train(docs, read(spark, sf, "labels"))
+    )
+
+
+def op9_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_decode(read(spark, sf, "documents"), model)
+
+
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_suffix_dedup, op10_simhash)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_language_id,
+        op4_token_blocks,
+        op6_repetition,
+        op7_suffix_dedup,
+        op8_compression_quality,
+        op9_pieces,
+        op10_simhash,
+    )
+}
 
 ORACLES: dict[str, str] = {}

@@ -1,0 +1,38 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from morphloom.llm import pieces
+
+FILE = public_tokenizers.path("piece_bpe_32k.model")
+SCHEMA = "doc_id long, text string"
+
+
+def odd_texts(n=2000):
+    rng = random.Random(2)
+    letters = list(" ▁ab.\n\té🙂中<s>0x")
+    fixed = ["", " ", "  ", "▁", "▁▁", "a ▁b", "x\ny z", "\n", "<s> </s>", "<unk>", "<0x0A>", "a\x00b \x00", "ﬁ"]
+    return fixed + ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(n)]
+
+
+def test_against_the_library(spark):
+    texts = odd_texts()
+    rows = [*enumerate(texts), (None, "no id"), (9000, None), (9001, "word " * 30000), (1, texts[1])]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("ids", F.lit("clash"))
+    model = pieces.Chunks(FILE).model
+    want = []
+    for doc_id, text in rows:
+        ids = model.encode(text or "", add_bos=True, add_eos=True)
+        raw, decoded = np.array(ids, "<u4").tobytes(), model.decode(ids)
+        want.append((doc_id, len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), raw, decoded))
+    got = [(*r[:4], bytes(r[4]), r[5]) for r in pieces.encode_decode(df, FILE, output=True, limit=300).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    plain = [tuple(r) for r in pieces.encode_decode(df, FILE).collect()]
+    assert sorted(plain, key=str) == sorted((w[:4] for w in want), key=str)
+
+
+def test_empty_table(spark):
+    assert pieces.encode_decode(spark.createDataFrame([], SCHEMA), FILE).collect() == []
