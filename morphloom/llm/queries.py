@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
 from morphloom.llm import (
+    ann_tree,
     common,
     compression_quality,
     langid,
+    licenses,
+    mixing,
     pieces,
     repetition,
     simhash,
@@ -22,9 +25,12 @@ from morphloom.llm.common import read
 
 # Workers need not have this folder on their path: these functions travel with the job.
 for _module in (
+    ann_tree,
     common,
     compression_quality,
     langid,
+    licenses,
+    mixing,
     pieces,
     repetition,
     simhash,
@@ -35,16 +41,35 @@ for _module in (
     cloudpickle.register_pickle_by_value(_module)
 
 
+# Shares of all tokens that op3 gives to the domains of ``labels``.
+MIX = {"good": 0.92, "poor": 0.06, "toxic": 0.02}
+
+
+def op1_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    files = licenses.document_paths(read(spark, sf, "documents"))
+    doc_id = F.regexp_extract("path", r"(\d+)(\.txt)?$", 1).cast("long").alias("doc_id")
+    return licenses.scan(files).select(doc_id, "*")
+
+
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = read(spark, sf, "documents")
     return langid.predict(docs, langid.train(docs))
 
 
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    return mixing.mix(docs, mixing.train(docs, read(spark, sf, "labels")), MIX).drop("digest")
+
+
 def op4_token_blocks(spark: SparkSession, sf: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return token_blocks.round_trip(read(spark, sf, "documents"), tokenizer)
 
 
+def op5_ann_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return ann_tree.search(read(spark, sf, "embeddings"))
+
+
 def op6_repetition(spark: SparkSession, sf: str) -> DataFrame:
     return repetition.quality(read(spark, sf, "documents"))
 
@@ -72,8 +97,11 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_licenses,
         op2_language_id,
+        op3_mixing,
         op4_token_blocks,
+        op5_ann_tree,
         op6_repetition,
         op7_suffix_dedup,
         op8_compression_quality,
