@@ -23,9 +23,9 @@ from morphloom.llm.common import columns
 from morphloom.llm.training import sample
 
 UNKNOWN = "und"
-PER_LANGUAGE = 80  # texts that the model is fitted on
+PER_LANGUAGE = 40  # texts that the model is fitted on
 FEATURES = 1 << 16
-ROUNDS = 25
+ROUNDS = 20
 SPAN = 12  # mean words of a span of training text
 CHAIN = 64  # words of a training chain
 TABLE = 1_000_000  # words whose scores a task keeps

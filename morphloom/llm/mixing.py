@@ -22,7 +22,7 @@ from morphloom.llm.training import sample
 PER_DOMAIN = 400  # labelled texts that the classifier is fitted on
 TERMS = 2_000  # words it looks at, those that tell most
 MIN_TEXTS = 5
-STEPS = 60
+STEPS = 30
 TOLERANCE = 1e-3  # largest distance from a target, as a share of it
 _WORD = re.compile(r"[^\W\d_]+")
 _SYMBOLS = "#*$%&|<>!"
@@ -149,28 +149,40 @@ def rate(history: list[list[float]]) -> Column:
 def solve(members: DataFrame, targets: np.ndarray, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[list[float]]:
     """Steps of projected gradient descent that bring the expected tokens to ``targets``.
 
-    Distances are scaled by the domains' own weight, so that a rare domain converges as
-    fast as a common one; the step is one over the largest curvature.
+    The squared distances are taken in the scale of the documents' second moments (the
+    inverse of the sum of tokens * p * p'), in which all domains, rare or common,
+    overlapping or not, have a curvature of one, and a step of one never overshoots.
+    Where documents have come to a rate of zero, the moments of the others allow longer
+    steps; one that turns out worse is taken back for the safe one.
     """
     n = len(targets)
     p = [F.col("p")[d] for d in range(n)]
     pairs = [(d, e) for d in range(n) for e in range(d, n)]
-    sums = members.agg(*[F.sum(F.col("n_tokens") * p[d] * p[e]).alias(f"g{d}_{e}") for d, e in pairs]).first()
-    gram = np.zeros((n, n))
-    for d, e in pairs:
-        gram[d, e] = gram[e, d] = sums[f"g{d}_{e}"] or 0.0
-    some = np.diag(gram) > 0
-    scale = np.where(some, 1 / np.sqrt(np.where(some, np.diag(gram), 1)), 0)
-    largest = np.linalg.eigvalsh(gram * scale[:, None] * scale[None, :]).max()
     history: list[list[float]] = []
+    full = safe = None
+    before = np.inf
     for _ in range(steps):
         now = members.select("n_tokens", "p", rate(history).alias("r")).agg(
-            *[F.sum(F.col("n_tokens") * F.col("r") * p[d]).alias(f"t{d}") for d in range(n)]
+            *[F.sum(F.col("n_tokens") * F.col("r") * p[d]) for d in range(n)],
+            *[F.sum(F.when(F.col("r") > 0, F.col("n_tokens") * p[d] * p[e])) for d, e in pairs],
         ).first()
-        rest = np.array([now[d] or 0.0 for d in range(n)]) - targets
-        if not some.any() or (np.abs(rest[some]) <= tolerance * np.maximum(targets[some], 1)).all():
+        sums = np.array([x or 0.0 for x in now])
+        rest = sums[:n] - targets
+        gram = np.zeros((n, n))
+        for (d, e), x in zip(pairs, sums[n:]):
+            gram[d, e] = gram[e, d] = x
+        if full is None:
+            full = gram + np.diag(1e-9 * np.diag(gram) + 1e-9)
+        off = np.abs(rest) / np.maximum(targets, tolerance * targets.sum() + 1e-9)
+        if (off[np.diag(full) > 1e-6] <= tolerance).all():
             break
-        history.append(list(scale * scale * rest / largest))
+        far = rest @ np.linalg.solve(full, rest)
+        if far > before:
+            history[-1], before = safe, np.inf
+            continue
+        before, safe = far, list(np.linalg.solve(full, rest))
+        gram += 1e-3 * full
+        history.append(list(np.linalg.solve(gram, rest)))
     return history
 
 

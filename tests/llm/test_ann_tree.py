@@ -1,0 +1,70 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from morphloom.llm import ann_tree
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, k=5):
+    good = [
+        (i, np.array(v, float)) for i, v in rows
+        if i is not None and v is not None and len(v) == 8 and all(x is not None and math.isfinite(x) for x in v) and any(v)
+    ]
+    out = {}
+    for q, a in good:
+        if q % 50 == 0:
+            best = {}
+            for i, b in good:
+                if i != q:
+                    s = float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+                    best[i] = max(s, best.get(i, -2))
+            out[q] = sorted(best.items(), key=lambda x: (-round(x[1], 10), x[0]))[:k]
+    return out
+
+
+def vectors(n=1500):
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(20, 8))
+    rows = [(i, (centres[i % 20] + 0.4 * rng.normal(size=8)).astype(np.float32).tolist()) for i in range(n)]
+    hot = rows[0][1]
+    rows += [(5000 + i, hot) for i in range(700)]  # a third of all rows
+    rows += [(9000, None), (9050, [0.0] * 8), (9100, [float("nan")] * 8), (9150, [None] + [1.0] * 7)]
+    rows += [(9200, [float("inf")] * 8), (9250, [1.0] * 3), (None, hot), (100, rows[100][1]), (9300, [3e38] * 8)]
+    return rows
+
+
+@pytest.mark.parametrize("block", [4096, 100])
+def test_recall_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(ann_tree, "BLOCK", block)
+    rows = vectors()
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("leaf", F.lit("clash"))
+    want, got = brute(rows), {}
+    for r in ann_tree.search(df, sample=1000).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    assert set(got) == set(want)
+    hits = 0
+    for q, found in got.items():
+        assert sorted(found) == [1, 2, 3, 4, 5]
+        ids = [found[r][0] for r in range(1, 6)]
+        assert len(set(ids)) == 5 and q not in ids
+        hits += len(set(ids) & {i for i, _ in want[q]})
+    assert hits / (5 * len(want)) >= 0.9
+    assert [found for found, _ in map(got[0].get, range(1, 6))] == [5000, 5001, 5002, 5003, 5004]
+
+
+def test_few_rows(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [0.0, 2.0])], SCHEMA)
+    rows = [tuple(r)[:3] for r in ann_tree.search(df).orderBy("query_id", "rank").collect()]
+    assert rows == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
+    assert ann_tree.search(df.limit(0)).collect() == []
+
+
+def test_visits_are_best_first_and_complete():
+    x = np.random.default_rng(1).normal(size=(900, 6))
+    tree = ann_tree.Tree(x, branch=4, leaf=20)
+    assert sorted(tree.visits(x[0])) == list(range(tree.n_leaves))
+    assert next(tree.visits(x[3])) in set(tree.place(x))
