@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 MAX_LABELS = 256  # the most frequent ones are learned
+PARTS = 64
 MAX_BYTES = 1_000_000  # longer texts are not fitted on
 
 
@@ -26,14 +27,14 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[dict, li
     }
     if not counts:
         return {}, []
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        labels.where(F.col("label").isin(list(counts)))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= per_label)
-        .select("doc_id", "label")
-        .collect()
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = labels.where(F.col("label").isin(list(counts))).withColumn(
+        "part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))
     )
+    for keys in (["label", "part"], ["label"]):  # a common label is cut down in parts first
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= per_label)
+    chosen = chosen.select("doc_id", "label").collect()
     of = {r.doc_id: r.label for r in chosen}
     found = (
         docs.where(F.col("doc_id").isin(list(of)) & (F.octet_length("text") <= MAX_BYTES))
