@@ -10,8 +10,9 @@ from pyspark.sql import Column, functions as F
 
 from morphloom.functions.text import _col
 
-# Decimal numbers as text. Spark's own cast also takes '1d' and '1f'.
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# Decimal numbers as text. Spark's own cast also takes '1d' and '1f'. No quantifier gives
+# back what it took, so the cost is linear.
+_NUMBER = r"^\s*+[+-]?+(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+\s*+$"
 
 
 def _body(lattice: Column | str) -> Column:

@@ -23,7 +23,8 @@ def to_wire(text: Column | str) -> Column:
 
 def strip_punct(c: Column | str) -> Column:
     """Cut the run of punctuation and symbols at the end; inner marks stay."""
-    return F.regexp_replace(_col(c), r"[\p{P}\p{S}]+\z", "")
+    # Only the start of a run is tried and no run is given back, so the cost is linear.
+    return F.regexp_replace(_col(c), r"(?<![\p{P}\p{S}])[\p{P}\p{S}]++\z", "")
 
 
 def is_punct(pos: Column | str) -> Column:

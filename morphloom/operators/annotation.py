@@ -79,11 +79,14 @@ def annotate(
                 if wire is not None:
                     try:
                         response = annotator(wire)
+                        if response is not None and not isinstance(response, str):
+                            raise TypeError(f"answer of type {type(response).__name__}")
+                        (response or "").encode()  # an unpaired surrogate is no text
                     except Exception as exc:
                         if not keep:
                             doc = batch.column(0)[i].as_py()
                             raise RuntimeError(f"annotator failed on document {doc!r}") from exc
-                        error = f"{type(exc).__name__}: {exc}"
+                        response, error = None, f"{type(exc).__name__}: {exc}"
                 out.append(response)
                 errors.append(error)
                 held += len(response or "")
@@ -122,12 +125,19 @@ def decode_responses(
         *keys,
         F.from_json("response", schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_json"),
         F.octet_length("response").alias("_size"),
+        F.col("response").alias("_body"),
+        F.json_array_length(F.concat(F.lit("["), F.col("response"), F.lit("]"))).alias("_values"),
         *([F.col("error")] if had_error else []),
     )
     corrupt = F.col("_json._corrupt")
     # A body of blanks only gives no object and no trace of it either.
     blank = F.col("_json").isNull() & (F.coalesce("_size", F.lit(0)) > 0)
-    bad = (corrupt.isNotNull() & ~F.btrim(corrupt).isin("[]", "null")) | blank
+    empty = F.btrim(corrupt, F.lit(" \t\r\n")).isin("[]", "null")
+    # The parser stops behind the first object: text or a second object after it shows
+    # when the whole body has to be the only element of an array.
+    more = F.col("_json").isNotNull() & corrupt.isNull() & (F.coalesce("_values", F.lit(0)) != 1)
+    more = more & (F.octet_length(F.btrim("_body", F.lit(" \t\r\n"))) > 0)
+    bad = (corrupt.isNotNull() & ~empty) | blank | more
     message = F.concat(
         F.lit("malformed response of document "),
         F.coalesce("doc_id", F.lit("NULL")),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from morphloom.functions import once, strip_punct
 from morphloom.operators.checkpoints import materialize
-from morphloom.operators.skew import attach_by_word, heavy_words, is_small
+from morphloom.operators.skew import BROADCAST_CHARS, BROADCAST_ROWS, is_small
 from morphloom.operators.tokens import (
     _remove_punct,
     drop_empty_tokens,
@@ -16,6 +16,7 @@ from morphloom.operators.tokens import (
     value_column,
 )
 from morphloom.schemas import CONTENT_POS, key_columns, require_columns
+from morphloom.sources.wordlists import stopwords as stopword_list
 
 # Features whose counts share one row of a document's vector; see dfm_vectors.
 FEATURES_PER_BLOCK = 1_000_000
@@ -36,33 +37,31 @@ def remove_stopwords(
     df: DataFrame,
     stopwords: DataFrame | Iterable[str] | None,
     col: str = "token",
+    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """Drop rows whose ``col`` is a stopword, whatever the case of either.
 
-    ``stopwords`` is a table with a ``word`` column, a list, or None (or empty) for
-    no removal. The list is measured first: a small one is broadcast, one beyond
-    the bound is joined without regard to how often its words occur.
+    ``stopwords`` is a table with a ``word`` column, a list, or None (or empty) for no
+    removal. A table is measured when the plan is built: up to ``broadcast_rows`` words
+    and ``broadcast_chars`` characters it is broadcast. A larger one is joined by
+    shuffle, where adaptive execution splits the partition of a common word; ``df`` is
+    read once either way.
     """
     if stopwords is None:
         return df
     if not isinstance(stopwords, DataFrame):
-        words = sorted({w.lower() for w in stopwords if w is not None})
-        if not words:
+        listed = sorted({w.lower() for w in stopwords if w is not None})
+        if not listed:
             return df
-        stopwords = df.sparkSession.createDataFrame([(w,) for w in words], "word string")
-    require_columns(stopwords, "word")
+        small = len(listed) <= broadcast_rows and sum(map(len, listed)) <= broadcast_chars
+        stopwords = df.sparkSession.createDataFrame([(w,) for w in listed], "word string")
+    else:
+        require_columns(stopwords, "word")
+        small = is_small(stopwords, "word", broadcast_rows, broadcast_chars)
     words = stopwords.select(F.lower("word").alias("_word")).where("_word IS NOT NULL")
-    folded = F.lower(F.col(col))
-    small = is_small(words, "_word")
-    if small or df.isStreaming:
-        words = F.broadcast(words) if small else words
-        return df.join(words, folded == F.col("_word"), "left_anti")
-    rows = df.withColumn("_word", folded)
-    stops = words.distinct().withColumn("_stop", F.lit(True))
-    counted = rows.groupBy("_word").agg(F.count(F.lit(1)).alias("_n"))
-    heavy = heavy_words(counted, "_word", "_n").join(stops, "_word", "left")
-    marked = attach_by_word(rows, "_word", stops, heavy)
-    return marked.where("_stop IS NULL").select(*df.columns)
+    words = F.broadcast(words) if small else words.hint("merge")
+    return df.join(words, F.lower(F.col(col)) == F.col("_word"), "left_anti")
 
 
 def _content_rows(
@@ -96,9 +95,14 @@ def content_tokens(
     remove_stopwords: bool = True,
     stopwords: DataFrame | Iterable[str] | None = None,
     strip_trailing_punct: bool = True,
+    lang: str | None = None,
+    stopword_source: str = "stopwords-iso",
 ) -> DataFrame:
     """The tokens that are counted, one per row.
 
+    ``stopwords`` is a list of words or, with ``lang``, a table ``lang, source, word``
+    from which the list of that language and ``stopword_source`` is taken.
+
     With ``heb_lemma``: lemmas of content words, cleaned of trailing punctuation,
     without stopwords. Without it only ``use_lemma``, ``pos_keep`` and
     ``remove_punct`` have an effect.
@@ -110,6 +114,8 @@ def content_tokens(
         "token",
     )
     if heb_lemma and remove_stopwords:
+        if lang is not None and isinstance(stopwords, DataFrame):
+            stopwords = stopword_list(stopwords, lang, stopword_source)
         rows = _remove_stopwords(rows, stopwords)
     return rows
 
@@ -223,7 +229,7 @@ def dfm_vectors(
     """The matrix in sparse rows: ``doc_id, block, indices, values``.
 
     ``indices`` are sorted column numbers of :func:`feature_index` and ``values``
-    their counts. Columns are cut into blocks of ``features_per_block``: with fewer
+    their counts; a feature that a given ``index`` lacks stops the job. Columns are cut into blocks of ``features_per_block``: with fewer
     features than that, each document is one row. No row can outgrow its block, not
     even a document that uses every feature.
 
@@ -234,8 +240,12 @@ def dfm_vectors(
     if index is None:
         counts = materialize(counts)
         index = materialize(feature_index(counts))
-    heavy = heavy_words(index, "feature", "n_documents")
-    entries = attach_by_word(counts, "feature", index.drop("n_documents"), heavy)
+    # Adaptive execution splits the partition of a feature that very many documents have.
+    unknown = F.raise_error(F.concat(F.lit("not in the index: "), F.col("feature")))
+    entries = counts.join(index.select("feature", "feature_index"), "feature", "left")
+    entries = entries.withColumn(
+        "feature_index", F.coalesce("feature_index", unknown.cast("bigint"))
+    )
     block = F.floor(F.col("feature_index") / F.lit(features_per_block)).cast("int")
     rows = (
         entries.groupBy("doc_id", block.alias("block"))

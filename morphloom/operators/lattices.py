@@ -7,6 +7,8 @@ shuffle. Every operator keeps ``doc_order`` if the table has it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -187,8 +189,10 @@ def attach_dependencies(md: DataFrame, dep: DataFrame) -> DataFrame:
     repeated = F.raise_error(
         F.concat(F.lit("several trees for document "), F.coalesce("doc_id", F.lit("NULL")))
     ).cast("string")
+    # In both columns, as a query may read only one of them.
     head = F.when(F.col("_n") > 1, repeated).otherwise(F.col("_head").cast("string"))
-    arcs = arcs.select(*keys, int_or_null(head).alias("head"), F.col("_deprel").alias("deprel"))
+    deprel = F.when(F.col("_n") > 1, repeated).otherwise(F.col("_deprel"))
+    arcs = arcs.select(*keys, int_or_null(head).alias("head"), deprel.alias("deprel"))
     return md.join(arcs, keys, "left")
 
 
@@ -242,7 +246,9 @@ def with_token_id(
     ``order_col`` is an integer that differs between the rows of a sentence. The
     numbering runs in blocks of ``rows_per_block`` consecutive order values, so no
     task ever holds more than one block of a sentence, however long it is; the
-    block sizes, a small table, then say where each block's numbers start.
+    block sizes, a small table if the order values are dense, then say where each
+    block's numbers start. Rows with a NULL order value come first in their sentence;
+    NULL keys are keys like others, so no row is lost.
 
     Decoded responses carry the number already and need none of this.
     """
@@ -259,7 +265,10 @@ def with_token_id(
     inside = Window.partitionBy(*sentence, "_block").orderBy(order_col)
     numbered = df.select("*", block).withColumn("_rank", F.row_number().over(inside))
     cols = [c for c in df.columns if c != "token_id"]
-    return numbered.join(starts, [*sentence, "_block"]).select(
+    keys = [*sentence, "_block"]
+    starts = starts.select(*[F.col(k).alias(f"_at_{k}") for k in keys], "_start")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys])
+    return numbered.join(starts, same).select(
         *cols, (F.col("_start") + F.col("_rank")).cast("int").alias("token_id")
     )
 

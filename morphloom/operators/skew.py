@@ -1,4 +1,4 @@
-"""Lookup joins on words, whose frequencies are as uneven as language is."""
+"""Which tables of words are small enough to broadcast."""
 
 from __future__ import annotations
 
@@ -8,64 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_ROWS = 1_000_000
 BROADCAST_CHARS = 32_000_000
 
-# A word is heavy if at least one row in this many has it, so there are at most this
-# many heavy words. Longer ones than HEAVY_LENGTH are not broadcast.
-HEAVY_WORDS = 10_000
-HEAVY_LENGTH = 200
 
-_SPREAD = 4096
-
-
-def is_small(words: DataFrame, col: str) -> bool:
+def is_small(
+    words: DataFrame, col: str, rows: int = BROADCAST_ROWS, chars: int = BROADCAST_CHARS
+) -> bool:
     """Whether a word table is safe to broadcast: its rows and characters, counted."""
-    rows, chars = words.agg(
+    n, size = words.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(col)), F.lit(0))
     ).first()
-    return rows <= BROADCAST_ROWS and chars <= BROADCAST_CHARS
-
-
-def heavy_words(counts: DataFrame, col: str, n: str, limit: int = HEAVY_WORDS) -> DataFrame:
-    """The words of a table of counts that have at least a ``limit``-th of the total.
-
-    There cannot be more than ``limit`` of them, whatever the data.
-    """
-    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
-    return counts.where((F.length(col) <= HEAVY_LENGTH) & (F.col(n) * F.lit(limit) >= total))
-
-
-def attach_by_word(fact: DataFrame, col: str, table: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Left join ``table``, unique in ``col`` and of any size, to ``fact`` by a word.
-
-    A plain join would send all rows of the commonest word to one task. Here the
-    heavy words of ``fact`` (:func:`heavy_words`) come with their values in
-    ``heavy``, whose size is bounded and which is broadcast. Any other word makes up
-    less than one in HEAVY_WORDS rows, so the shuffle join for the rest is even. Rows that are already looked up go through it under spread-out keys that
-    match nothing.
-    """
-    values = [c for c in table.columns if c != col]
-    first = fact.join(
-        F.broadcast(
-            heavy.select(
-                F.col(col).alias("_heavy"), *[F.col(v).alias(f"_heavy_{v}") for v in values]
-            )
-        ),
-        F.col(col) == F.col("_heavy"),
-        "left",
-    )
-    done = F.col("_heavy").isNotNull()
-    keyed = first.select(
-        "*",
-        (~done).alias("_open"),
-        F.when(done, F.pmod(F.xxhash64(*fact.columns), F.lit(_SPREAD)).cast("string"))
-        .otherwise(F.col(col))
-        .alias("_key"),
-    )
-    rest = table.select(
-        F.col(col).alias("_key"),
-        F.lit(True).alias("_open"),
-        *[F.col(v).alias(f"_rest_{v}") for v in values],
-    )
-    return keyed.join(rest, ["_key", "_open"], "left").select(
-        *[F.col(c) for c in fact.columns],
-        *[F.coalesce(f"_heavy_{v}", f"_rest_{v}").alias(v) for v in values],
-    )
+    return n <= rows and size <= chars

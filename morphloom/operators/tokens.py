@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from morphloom.functions import is_punct, lattice_lines, line_fields, once
 from morphloom.schemas import MD_COLUMNS, key_columns, require_columns
 
-# Sentences of one document whose tokens share one array; see as_tokens.
-SENTENCES_PER_PART = 10_000
-
 _POSITION = ("sentence_id", "token_id")
 
 # Marks rows that a filter takes out. No token is a line break.
@@ -78,14 +75,15 @@ def as_tokens(
     concatenator: str = "_",
     remove_punct: bool = False,
     pos_keep: Sequence[str] | None = None,
-    sentences_per_part: int = SENTENCES_PER_PART,
+    sentences_per_part: int | None = None,
 ) -> DataFrame:
     """Token lists in reading order: ``doc_id, part, tokens``.
 
-    A document is one row with ``part`` 0, unless it has more sentences than
-    ``sentences_per_part``; then its list goes on in part 1, 2 and so on, so that
-    no array and no group grows without bound. Rows of a repeated ``doc_id`` are
-    parts of their own when the table has ``doc_order``.
+    A document is one row with ``part`` 0, whatever its length: its list is bounded by
+    the lattice, one row, that it came from. With ``sentences_per_part`` its list goes
+    on in part 1, 2 and so on after that many sentences. Documents that share a
+    ``doc_id`` need ``doc_order``, which gives them rows of their own: a place that is
+    taken twice stops the job, since the order of such copies is not known.
 
     A document all of whose rows fall to the filters is absent; one whose remaining
     tokens are all NULL or empty has an empty list. ``concatenator`` is kept as
@@ -97,12 +95,20 @@ def as_tokens(
     require_columns(df, "doc_id", *_POSITION)
     value = F.col(value_column(df, use_lemma))
     kept = keep_pos(_remove_punct(df, remove_punct), pos_keep)
-    part = F.floor((F.col("sentence_id") - 1) / F.lit(sentences_per_part)).cast("int")
+    part = F.lit(0)
+    if sentences_per_part is not None:
+        part = F.floor((F.col("sentence_id") - 1) / F.lit(sentences_per_part)).cast("int")
     entry = F.when(usable(value), F.struct(*_POSITION, value.alias("v")))
+    places = F.transform("_entries", lambda e: F.struct(e["sentence_id"], e["token_id"]))
+    repeated = F.size(F.array_distinct(places)) < F.size("_entries")
+    stop = F.raise_error(
+        F.concat(F.lit("several texts without doc_order for document "), F.col("doc_id"))
+    ).cast("array<string>")
+    values = F.col("_entries").getField("v")
     tokens = (
         kept.groupBy(*key_columns(df), part.alias("part"))
         .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-        .select(*key_columns(df), "part", F.col("_entries").getField("v").alias("tokens"))
+        .select(*key_columns(df), "part", F.when(repeated, stop).otherwise(values).alias("tokens"))
     )
     return _with_concatenator(tokens, concatenator)
 
@@ -113,6 +119,7 @@ def to_tokens(
     remove_punct: bool = True,
     pos_keep: Sequence[str] | None = None,
     concatenator: str = "_",
+    sentences_per_part: int | None = None,
 ) -> DataFrame:
     """:func:`as_tokens` with the other defaults: lemmas, no punctuation."""
     return as_tokens(
@@ -121,6 +128,7 @@ def to_tokens(
         concatenator=concatenator,
         remove_punct=remove_punct,
         pos_keep=pos_keep,
+        sentences_per_part=sentences_per_part,
     )
 
 

@@ -9,8 +9,6 @@ MD_COLUMNS = ("from", "to", "token", "lemma", "cpostag", "postag", "feats", "tok
 DEP_COLUMNS = ("id", "token", "lemma", "cpostag", "postag", "feats", "head", "deprel")
 
 # Columns of the two formats that hold integers.
-MD_INT_COLUMNS = ("from", "to", "token_id")
-DEP_INT_COLUMNS = ("id", "head")
 
 # Fields of an annotator response.
 RESPONSE_FIELDS = ("ma_lattice", "md_lattice", "dep_tree", "segmented_text")

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from morphloom.schemas import DOC_ORDER, DOCUMENT_SCHEMA, require_columns
 
 
+def required_id(id_col: str) -> Column:
+    """``doc_id``, which is never NULL: a row without id stops the job when it is read."""
+    missing = F.raise_error(F.lit(f"NULL in {id_col}: every row needs an id")).cast("string")
+    return F.coalesce(F.col(id_col).cast("string"), missing).alias("doc_id")
+
+
 def documents(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -18,7 +24,7 @@ def documents(
     """Any table with an id and a text column as a document table.
 
     Works on every Spark source, batch or streaming. Ids become strings, other
-    columns are dropped (so they are not read).
+    columns are dropped (so they are not read). A NULL id stops the job.
 
     A ``doc_id`` may occur more than once: each row is analysed by itself and the
     copies count as one document afterwards. Give ``order_col`` when that happens:
@@ -28,7 +34,7 @@ def documents(
     """
     require_columns(df, id_col, text_col, *([order_col] if order_col else []))
     cols = [
-        F.col(id_col).cast("string").alias("doc_id"),
+        required_id(id_col),
         F.col(text_col).cast("string").alias("text"),
     ]
     if order_col:

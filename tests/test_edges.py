@@ -1,0 +1,91 @@
+"""Rows with NULL keys, checks that column pruning must not remove, long odd strings."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+import morphloom as m
+from morphloom.functions import int_or_null, strip_punct
+
+
+def test_token_id_loses_no_row(spark):
+    rows = [(None, 1, 5), ("a", None, 1), ("a", 1, None), ("a", 1, 7), (None, 1, 2), ("a", 1, 3)]
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, place int")
+    for per_block in (2, 1000):
+        got = m.with_token_id(df, "place", per_block).collect()
+        want = [(None, 1, 2, 1), (None, 1, 5, 2), ("a", None, 1, 1), ("a", 1, None, 1), ("a", 1, 3, 2), ("a", 1, 7, 3)]
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("column", ["head", "deprel"])
+def test_several_trees_stop_the_job_whatever_is_read(spark, column):
+    md = spark.createDataFrame([("a", 1, 1, "x")], "doc_id string, sentence_id int, position int, token string")
+    dep = spark.createDataFrame(
+        [("a", 1, 1, "0", "ROOT"), ("a", 1, 1, "2", "obj")],
+        "doc_id string, sentence_id int, position int, head string, deprel string",
+    )
+    with pytest.raises(Exception, match="several trees for document a"):
+        m.attach_dependencies(md, dep).select("doc_id", column).collect()
+
+
+def test_ids_are_required(spark):
+    df = spark.createDataFrame([("a", "x"), (None, "y")], "doc_id string, text string")
+    with pytest.raises(Exception, match="every row needs an id"):
+        m.documents(df).collect()
+    with pytest.raises(Exception, match="every row needs an id"):
+        m.responses(df, json_col="text").collect()
+
+
+def test_copies_without_order_stop_the_job(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 1, "A1"), ("a", 1, 1, "B1")],
+        "doc_id string, sentence_id int, token_id int, token string",
+    ).withColumn("lemma", F.col("token"))
+    with pytest.raises(Exception, match="without doc_order for document a"):
+        m.as_tokens(df).collect()
+
+
+def test_a_long_document_is_one_list(spark):
+    rows = [("a", s, 1, "x", "x", "NN") for s in range(1, 10_006)]
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, token_id int, token string, lemma string, pos string")
+    assert [(r.part, len(r.tokens)) for r in m.as_tokens(df).collect()] == [(0, 10_005)]
+
+
+def test_long_runs_cost_no_more_than_their_length(spark):
+    df = spark.createDataFrame([("-" * 1_000_000 + "a",), ("1" * 1_000_000 + "x",)], "s string")
+    start = time.perf_counter()
+    rows = df.select(F.length(strip_punct("s")).alias("n"), int_or_null("s").alias("i")).collect()
+    assert time.perf_counter() - start < 10
+    assert [tuple(r) for r in rows] == [(1_000_001, None), (1_000_001, None)]
+
+
+@pytest.mark.parametrize(
+    "body, bad",
+    [
+        ('{"md_lattice":"a"}', False),
+        ('{"md_lattice":"a"}\n', False),
+        ('{"md_lattice":"a"} garbage', True),
+        ('{"md_lattice":"a"}{"md_lattice":"b"}', True),
+        ('{"md_lattice":"a"},{}', True),
+        ("[]\n", False),
+        ("\tnull\r\n", False),
+        ("{}", False),
+        ("", False),
+        (None, False),
+        ("bad", True),
+    ],
+)
+def test_strict_bodies(spark, body, bad):
+    df = spark.createDataFrame([("d", body)], "doc_id string, response string")
+    row = m.decode_responses(m.responses(df), on_error="keep", fields=("md_lattice",)).first()
+    assert (row.error is not None) == bad
+    if bad:
+        assert row.md_lattice is None
+
+
+@pytest.mark.parametrize("answer", [5, b"bytes", "\ud800"])
+def test_answers_that_are_no_text_are_kept_as_errors(spark, answer):
+    docs = m.documents(spark.createDataFrame([("d", "x y")], "doc_id string, text string"))
+    row = m.annotate(docs, lambda: lambda wire: answer, on_error="keep").first()
+    assert row.response is None and row.error
