@@ -10,7 +10,7 @@ from morphloom.llm.common import keep, read
 
 # Of the tokens that the classifier finds in each domain, what is to be left. With more of
 # the good ones, documents that are good for the most part have a rate of one or more.
-LEFT = {"good": 1.15, "poor": 0.5, "toxic": 0.05}
+LEFT = {"good": 1.2, "poor": 0.6, "toxic": 0.3}
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
