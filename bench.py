@@ -51,6 +51,12 @@ def headline(spark: SparkSession, stored: DataFrame, stops: DataFrame) -> dict:
         "parse_morphemes": lambda: m.parse(stored),
         "parse_dependencies": lambda: m.parse_dependencies(stored),
         "response_alignment": lambda: m.response_alignment(decoded("md_lattice", "dep_tree")),
+        "attach_dependencies": lambda: m.attach_dependencies(
+            m.explode_md(decoded("md_lattice")), m.explode_dep(decoded("dep_tree"))
+        ),
+        "alignment_report": lambda: m.alignment_report(
+            m.explode_md(decoded("md_lattice")), m.explode_dep(decoded("dep_tree"))
+        ),
         "parse_summary": lambda: m.summary(m.parse(stored)),
         "tokens_from_lattices": lambda: m.text_to_tokens(stored, **content),
         "tokens_lemma": lambda: m.as_tokens(m.parse(stored), **content),

@@ -142,6 +142,11 @@ def _report() -> str:
 _NO_PUNCT = "coalesce(pos NOT LIKE 'yy%', true)"
 _LEMMA_LISTS = _lists("lemma", "pos IN ('NN', 'JJ', 'yyDOT') AND " + _NO_PUNCT)
 _DEP_SELECT = f"SELECT {_MORPH}, CAST(head_token_id AS INTEGER) AS head_token_id, deprel FROM trees"
+_WITHOUT_STOPS = f"""{_DOCS}, {_STOPS}
+      SELECT doc_id, sentence_id, token_id, token FROM morphs
+      WHERE token <> '' AND lower(token) NOT IN (SELECT word FROM stops)"""
+_CONTENT_COUNTS = f"""{_DOCS}, {_CLEAN}, {_STOPS}
+      SELECT doc_id, feature, n FROM counted WHERE feature NOT IN (SELECT word FROM stops)"""
 
 ORACLES = {
     "documents_mapped": """
@@ -190,14 +195,23 @@ ORACLES = {
            LEFT JOIN dep_doc ON w.doc_id = dep_doc.doc_id""",
     "stopword_list": f"WITH {_STOPS} SELECT word FROM stops",
     "pretokenized_parse": _with(_DOCS_SRC, wire=_LINES) + f" SELECT {_MORPH} FROM morphs",
+    "annotate_pretokenized": _with(_DOCS_SRC, wire=_LINES) + f" SELECT {_MORPH} FROM morphs",
+    "malformed_bodies": """
+      SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+             CAST(CASE WHEN doc_id % 7 = 0 THEN length(text) END AS INTEGER) AS n_chars,
+             CASE WHEN doc_id % 7 IN (1, 2, 4, 5)
+                  THEN 'malformed response of document ' || doc_id END AS error
+      FROM documents""",
     "wire_text": _DOCS + " SELECT doc_id, body || chr(10) || chr(10) AS wire FROM wired",
     "annotate_python": _DOCS + f" SELECT {_MORPH} FROM morphs",
     "annotate_keep_errors": _DOCS
     + """
       SELECT doc_id,
-             CAST(CASE WHEN length(body) + 2 <= 2000 AND body <> '' THEN length(body) END
-                  AS INTEGER) AS n_chars,
-             CASE WHEN length(body) + 2 > 2000 THEN 'ValueError: too long' END AS error
+             CAST(CASE WHEN length(body) + 2 <= 2000 AND (length(body) + 2) % 7 <> 0
+                        AND body <> '' THEN length(body) END AS INTEGER) AS n_chars,
+             CASE WHEN length(body) + 2 > 2000 THEN 'ValueError: too long'
+                  WHEN (length(body) + 2) % 7 = 0 THEN 'TypeError: answer of type int'
+             END AS error
       FROM wired""",
     "explode_md": _DOCS
     + """
@@ -251,6 +265,11 @@ ORACLES = {
       SELECT doc_id, '0' || chr(9) || '1' || chr(9) ||
              replace(body, chr(10), chr(10) || '0' || chr(9) || '1' || chr(9)) AS ma_lattice
       FROM wired WHERE body <> ''""",
+    "parse_keep_lattice": _DOCS
+    + """
+      SELECT doc_id, count(*) AS n_morphemes,
+             any_value(len(string_split(body, chr(10)))) AS n_edges
+      FROM morphs JOIN wired USING (doc_id) GROUP BY doc_id""",
     "remove_punct": _DOCS + f" SELECT {_MORPH} FROM morphs WHERE {_NO_PUNCT}",
     "keep_pos": _DOCS + f" SELECT {_MORPH} FROM morphs WHERE pos IN ('NN', 'VB')",
     "token_rows": _DOCS
@@ -275,11 +294,10 @@ ORACLES = {
              SELECT doc_id, sentence_id, token_id, {_STRIP.format('token')} AS token,
                     {_STRIP.format('lemma')} AS lemma, pos, xpos, feats FROM morphs)
            WHERE lemma <> ''""",
-    "stopword_removal": f"""{_DOCS}, {_STOPS}
-      SELECT doc_id, sentence_id, token_id, token FROM morphs
-      WHERE token <> '' AND lower(token) NOT IN (SELECT word FROM stops)""",
-    "dfm_content_lemma": f"""{_DOCS}, {_CLEAN}, {_STOPS}
-      SELECT doc_id, feature, n FROM counted WHERE feature NOT IN (SELECT word FROM stops)""",
+    "stopword_removal": _WITHOUT_STOPS,
+    "stopword_removal_large": _WITHOUT_STOPS,
+    "dfm_content_lemma": _CONTENT_COUNTS,
+    "dfm_stopword_table": _CONTENT_COUNTS,
     "dfm_bare_lemma": f"""{_DOCS}
       SELECT doc_id, lower(lemma) AS feature, count(*) AS n FROM morphs
       WHERE {_NO_PUNCT} AND lemma <> '' GROUP BY ALL""",
@@ -293,6 +311,7 @@ ORACLES = {
       SELECT DISTINCT doc_id FROM morphs
       WHERE pos = 'VB' AND {_STRIP.format('lemma')} <> ''""",
     "featnames": f"{_DOCS}, {_CLEAN} SELECT DISTINCT feature FROM counted",
+    "featnames_direct": f"{_DOCS}, {_CLEAN} SELECT DISTINCT feature FROM counted",
     "topfeatures": f"""{_DOCS}, {_CLEAN}
       SELECT feature, CAST(sum(n) AS BIGINT) AS n FROM counted GROUP BY feature
       ORDER BY 2 DESC, 1 LIMIT 25""",

@@ -96,6 +96,31 @@ def pretokenized_parse(spark, sf):
     return m.parse(stub_annotated(src, pre_tokenized=True))
 
 
+def annotate_pretokenized(spark, sf):
+    src = docs(spark, sf).withColumn("text", F.concat("text", F.lit("\n\n")))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return m.parse(src, make_annotator, pre_tokenized=True, partitions=tasks)
+
+
+def malformed_bodies(spark, sf):
+    """Stored bodies of seven kinds by id, among them two objects in one, text behind the
+    object, fields that are no text, and answers without content."""
+    good = F.to_json(F.struct(F.col("text").alias("segmented_text")))
+    kind = F.pmod(F.col("doc_id"), F.lit(7))
+    body = (
+        F.when(kind == 1, F.concat(good, F.lit(" tail")))
+        .when(kind == 2, F.concat(good, good))
+        .when(kind == 3, F.lit("[]\n"))
+        .when(kind == 4, F.to_json(F.struct(F.struct("text").alias("segmented_text"))))
+        .when(kind == 5, F.to_json(F.struct(F.col("doc_id").alias("segmented_text"))))
+        .when(kind == 6, F.lit("null\n"))
+        .otherwise(good)
+    )
+    src = _read(spark, sf, "documents").select("doc_id", body.alias("body"))
+    out = m.decode_responses(m.responses(src, "doc_id", "body"), "keep", ("segmented_text",))
+    return out.select("doc_id", F.length("segmented_text").alias("n_chars"), "error")
+
+
 # --- annotation ----------------------------------------------------------------
 
 
@@ -108,7 +133,8 @@ def annotate_python(spark, sf):
 
 
 def annotate_keep_errors(spark, sf):
-    """Every document longer than 2,000 characters of wire text makes this one fail."""
+    """An annotator that fails on wire text of more than 2,000 characters and gives a
+    number instead of JSON where the length is a multiple of seven."""
 
     def factory():
         annotator = make_annotator()
@@ -116,7 +142,7 @@ def annotate_keep_errors(spark, sf):
         def limited(wire):
             if len(wire) > 2000:
                 raise ValueError("too long")
-            return annotator(wire)
+            return len(wire) if len(wire) % 7 == 0 else annotator(wire)
 
         return limited
 
@@ -199,6 +225,14 @@ def ambiguous_lattices(spark, sf):
     return m.ambiguous_lattices(decoded(spark, sf, "md_lattice", "ma_lattice"))
 
 
+def parse_keep_lattice(spark, sf):
+    """Both results of one call, the second as its number of lines per document."""
+    table, lattices = m.parse(docs(spark, sf), make_annotator, keep_lattice=True)
+    rows = table.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_morphemes"))
+    lines = F.size(F.split("ma_lattice", "\n")).cast("bigint").alias("n_edges")
+    return rows.join(lattices.select("doc_id", lines), "doc_id")
+
+
 # --- queries on the morpheme table -----------------------------------------------
 
 
@@ -273,6 +307,23 @@ def stopword_removal(spark, sf):
     )
 
 
+def stopword_removal_large(spark, sf):
+    """As for a list that is too large to broadcast."""
+    return m.remove_stopwords(
+        m.token_rows(parsed(spark, sf)), stoplist(spark, sf), broadcast_rows=0
+    )
+
+
+def dfm_stopword_table(spark, sf):
+    """The list is chosen from the table of all languages and sources by the job."""
+    return m.text_to_dfm(
+        stored(spark, sf),
+        stopwords=m.materialize(word_table(spark, sf)),
+        lang="en",
+        stopword_source="src0",
+    )
+
+
 def dfm_content_lemma(spark, sf):
     return m.text_to_dfm(stored(spark, sf), stopwords=stoplist(spark, sf))
 
@@ -303,6 +354,10 @@ def featnames(spark, sf):
     return m.featnames(m.text_to_dfm(stored(spark, sf)))
 
 
+def featnames_direct(spark, sf):
+    return m.featnames(m.content_tokens(parsed(spark, sf)))
+
+
 def topfeatures(spark, sf):
     return m.topfeatures(m.text_to_dfm(stored(spark, sf)), 25)
 
@@ -338,6 +393,8 @@ QUERIES = {
         stored_responses,
         stopword_list,
         pretokenized_parse,
+        annotate_pretokenized,
+        malformed_bodies,
         wire_text,
         annotate_python,
         annotate_keep_errors,
@@ -354,6 +411,7 @@ QUERIES = {
         drop_empty_documents,
         union_batches,
         ambiguous_lattices,
+        parse_keep_lattice,
         remove_punct,
         keep_pos,
         token_rows,
@@ -369,12 +427,15 @@ QUERIES = {
         doc_names,
         strip_punct,
         stopword_removal,
+        stopword_removal_large,
+        dfm_stopword_table,
         dfm_content_lemma,
         dfm_bare_lemma,
         dfm_options,
         dfm_from_tokens,
         dfm_documents,
         featnames,
+        featnames_direct,
         topfeatures,
         topfeatures_direct,
         feature_index,

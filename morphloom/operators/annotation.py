@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from morphloom.functions import to_wire
 from morphloom.schemas import RESPONSE_FIELDS, key_columns, require_columns
@@ -99,6 +101,13 @@ def annotate(
     return wired.mapInArrow(run, T.StructType(fields))
 
 
+def _may_be_json(value: Column) -> Column:
+    """Whether a field's text can stem from a number, flag, object or array. The parser
+    writes those without tabs or line breaks, so a lattice is passed at its first tab."""
+    plain = ~F.contains(value, F.lit("\t")) & ~F.contains(value, F.lit("\n"))
+    return F.coalesce(plain & F.substring(value, 1, 1).rlike(r"[\[{\-0-9tf]"), F.lit(False))
+
+
 def decode_responses(
     df: DataFrame,
     on_error: str = "fail",
@@ -108,7 +117,8 @@ def decode_responses(
 
     Only the named ``fields`` are taken out of the JSON; the parser skips the rest.
     An empty object, an empty body and ``[]`` or ``null`` are answers without
-    content. Any other text that is no JSON object is malformed: the job fails, or
+    content. Any other text that is no JSON object, and an object in which one of
+    ``fields`` is neither a string nor null, is malformed: the job fails, or
     with ``'keep'`` the row gets NULL fields and a message in ``error``. An ``error``
     that is already there, from :func:`annotate`, counts like a malformed answer.
     """
@@ -137,7 +147,9 @@ def decode_responses(
     # when the whole body has to be the only element of an array.
     more = F.col("_json").isNotNull() & corrupt.isNull() & (F.coalesce("_values", F.lit(0)) != 1)
     more = more & (F.octet_length(F.btrim("_body", F.lit(" \t\r\n"))) > 0)
-    bad = (corrupt.isNotNull() & ~empty) | blank | more
+    no_text = reduce(or_, [_may_be_json(F.col("_json")[f]) for f in fields])
+    no_text = no_text & F.rlike("_body", F.lit(rf'"(?:{"|".join(fields)})"\s*+:\s*+(?!"|null)'))
+    bad = (corrupt.isNotNull() & ~empty) | blank | more | F.coalesce(no_text, F.lit(False))
     message = F.concat(
         F.lit("malformed response of document "),
         F.coalesce("doc_id", F.lit("NULL")),

@@ -11,7 +11,9 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage, on storage that outlives executors.
 
     Checkpoints go to the folder in ``spark.checkpoint.dir``, which on a cluster is
-    shared. Only a local session without that setting gets a temporary folder.
+    shared. Only a local session without that setting gets a temporary folder. With
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` set to ``true`` Spark removes
+    the files once no DataFrame refers to them any more.
     """
     spark = df.sparkSession
     sc = spark.sparkContext

@@ -165,8 +165,10 @@ def dfm_documents(
 
 
 def featnames(counts: DataFrame) -> DataFrame:
-    """The distinct features."""
-    return counts.select("feature").distinct()
+    """The distinct features, of counts or, with one shuffle less, of one token per row."""
+    if "feature" in counts.columns:
+        return counts.select("feature").distinct()
+    return counts.select(F.lower("token").alias("feature")).distinct()
 
 
 def topfeatures(counts: DataFrame, n: int = 10) -> DataFrame:
@@ -229,9 +231,9 @@ def dfm_vectors(
     """The matrix in sparse rows: ``doc_id, block, indices, values``.
 
     ``indices`` are sorted column numbers of :func:`feature_index` and ``values``
-    their counts; a feature that a given ``index`` lacks stops the job. Columns are cut into blocks of ``features_per_block``: with fewer
-    features than that, each document is one row. No row can outgrow its block, not
-    even a document that uses every feature.
+    their counts; a feature that a given ``index`` lacks stops the job. A document is one
+    row per block of ``features_per_block`` columns that it has features in, so no row
+    can outgrow its block, not even that of a document that uses every feature.
 
     ``counts`` is read several times. Without an ``index`` it is checkpointed first
     and the index is made from it; a caller that has both stored passes both. Pass

@@ -36,11 +36,8 @@ def _explode_lattice(
     lines = df.select(*keys, F.posexplode(sentence_blocks(col)).alias("_s", "_block")).select(
         *keys, "_s", F.posexplode(sentence_lines("_block")).alias("_p", "_line")
     )
-    fields = line_fields("_line", upto)
-    if upto is not None:
-        # Meant for filtering by several conditions; each would split the line again.
-        fields = once(fields)
-    rows = lines.select(*keys, "_s", "_p", fields.alias("_f"))
+    # Each condition of a later filter would split the line again.
+    rows = lines.select(*keys, "_s", "_p", once(line_fields("_line", upto)).alias("_f"))
     return rows.select(
         *keys,
         (F.col("_s") + 1).alias("sentence_id"),
@@ -90,13 +87,9 @@ def morphemes(decoded: DataFrame, dependency: bool = False) -> DataFrame:
             ).alias("_p", "_pair"),
         )
         .where(_left("_pair").isNotNull())
-        .select(
-            *keys,
-            "_s",
-            "_p",
-            line_fields(_left("_pair")).alias("_f"),
-            line_fields(_right("_pair")).alias("_d"),
-        )
+        # The tree first: a filter on a relation then comes before the lattice line is split.
+        .select(*keys, "_s", "_p", "_pair", once(line_fields(_right("_pair"))).alias("_d"))
+        .select(*keys, "_s", "_p", "_d", once(line_fields(_left("_pair"))).alias("_f"))
     )
     md = rows.select(
         *keys,

@@ -17,11 +17,12 @@ def _decoded(
     pre_tokenized: bool,
     on_error: str,
     fields: tuple[str, ...],
+    partitions: int | None,
     keep: bool = False,
 ) -> DataFrame:
     """Whatever the source is, its lattice columns."""
     if annotator_factory is not None:
-        responses = annotate(source, annotator_factory, pre_tokenized, on_error)
+        responses = annotate(source, annotator_factory, pre_tokenized, on_error, partitions)
         if keep:
             responses = materialize(responses)
         return decode_responses(responses, on_error, fields)
@@ -39,13 +40,15 @@ def parse(
     pre_tokenized: bool = False,
     keep_lattice: bool = False,
     on_error: str = "fail",
+    partitions: int | None = None,
 ):
     """One row per morpheme.
 
     ``source`` is a document table together with an ``annotator_factory``, or a
     table of stored responses (or of their decoded lattices) without one. The
     columns are ``doc_id, sentence_id, token_id, token, lemma, pos, xpos, feats``
-    and, with ``dependency``, ``head_token_id, deprel``.
+    and, with ``dependency``, ``head_token_id, deprel``. Documents are dealt out to
+    ``partitions`` tasks, where given, before they are annotated.
 
     With ``keep_lattice`` the result is a pair: the morpheme table and the
     ambiguous lattices ``doc_id, ma_lattice``. As both read the responses, these are
@@ -54,7 +57,7 @@ def parse(
     fields = ("md_lattice",) + (("dep_tree",) if dependency else ())
     both = fields + (("ma_lattice",) if keep_lattice else ())
     decoded = _decoded(
-        source, annotator_factory, pre_tokenized, on_error, both, keep=keep_lattice
+        source, annotator_factory, pre_tokenized, on_error, both, partitions, keep=keep_lattice
     )
     table = morphemes(decoded, dependency)
     return (table, ambiguous_lattices(decoded)) if keep_lattice else table
@@ -65,8 +68,14 @@ def parse_dependencies(
     annotator_factory: Callable[[], Annotator] | None = None,
     pre_tokenized: bool = False,
     on_error: str = "fail",
+    partitions: int | None = None,
 ) -> DataFrame:
     """:func:`parse` with dependency columns."""
     return parse(
-        source, annotator_factory, True, pre_tokenized=pre_tokenized, on_error=on_error
+        source,
+        annotator_factory,
+        True,
+        pre_tokenized=pre_tokenized,
+        on_error=on_error,
+        partitions=partitions,
     )

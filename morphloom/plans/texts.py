@@ -18,6 +18,7 @@ def text_to_dfm(
     annotator_factory: Callable[[], Annotator] | None = None,
     pre_tokenized: bool = False,
     on_error: str = "fail",
+    partitions: int | None = None,
     **options,
 ) -> DataFrame:
     """Document-feature counts in one step.
@@ -26,7 +27,7 @@ def text_to_dfm(
     :func:`morphloom.operators.content_tokens`.
     """
     decoded = _decoded(
-        source, annotator_factory, pre_tokenized, on_error, ("md_lattice",)
+        source, annotator_factory, pre_tokenized, on_error, ("md_lattice",), partitions
     )
     return parsed_to_dfm(content_morphemes(decoded), **options)
 
@@ -36,10 +37,11 @@ def text_to_tokens(
     annotator_factory: Callable[[], Annotator] | None = None,
     pre_tokenized: bool = False,
     on_error: str = "fail",
+    partitions: int | None = None,
     **options,
 ) -> DataFrame:
     """Token lists in one step and without a shuffle; options of ``lattice_tokens``."""
     decoded = _decoded(
-        source, annotator_factory, pre_tokenized, on_error, ("md_lattice",)
+        source, annotator_factory, pre_tokenized, on_error, ("md_lattice",), partitions
     )
     return lattice_tokens(decoded, **options)

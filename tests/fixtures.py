@@ -5,25 +5,25 @@ def lattice(*sentences):
     return "\n\n".join("\n".join("\t".join(row.split(" ")) for row in s) for s in sentences)
 
 
-BOYS = (
+COOKS = (
     "0 1 h h DEF DEF _ 1",
-    "1 2 ylDym ylD NN NN gen=M|num=P 1",
-    "2 3 hlkw hlK VB VB gen=M|num=P|tense=PAST 2",
-    "3 4 lbyt byt NN NN _ 3",
-    "4 5 hspr spr NN NN _ 4",
+    "1 2 Tbxym Tbx NN NN gen=M|num=P 1",
+    "2 3 bSlw bSl VB VB gen=M|num=P|tense=PAST 2",
+    "3 4 mrq mrq NN NN _ 3",
+    "4 5 yrqwt yrq NN NN _ 4",
     "5 6 . yyDOT yyDOT yyDOT _ 5",
 )
-DAY = (
-    "0 1 ywm ywm NN NN _ 1",
-    "1 2 yph yph JJ JJ _ 2",
+SEA = (
+    "0 1 ym ym NN NN _ 1",
+    "1 2 gdwl gdwl JJ JJ _ 2",
     "2 3 . yyDOT yyDOT yyDOT _ 3",
 )
-BOYS_TREE = (
+COOKS_TREE = (
     "1 h h DEF DEF _ 2 def",
-    "2 ylDym ylD NN NN gen=M|num=P 3 subj",
-    "3 hlkw hlK VB VB gen=M|num=P|tense=PAST 0 ROOT",
-    "4 lbyt byt NN NN _ 3 obl",
-    "5 hspr spr NN NN _ 4 compound",
+    "2 Tbxym Tbx NN NN gen=M|num=P 3 subj",
+    "3 bSlw bSl VB VB gen=M|num=P|tense=PAST 0 ROOT",
+    "4 mrq mrq NN NN _ 3 obj",
+    "5 yrqwt yrq NN NN _ 4 compound",
     "6 . yyDOT yyDOT yyDOT yyDOT 3 punct",
 )
 

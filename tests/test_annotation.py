@@ -3,7 +3,7 @@ import json
 import pytest
 
 import morphloom as m
-from fixtures import BOYS, lattice
+from fixtures import COOKS, lattice
 
 
 def docs(spark, *rows):
@@ -116,7 +116,20 @@ def test_answers_without_content(spark, body):
     assert m.parse(responses(spark, body)).count() == 0
 
 
-@pytest.mark.parametrize("body", ["bad", "  ", '"text"', '{"md_lattice": "x", "dep'])
+@pytest.mark.parametrize(
+    "body",
+    [
+        "bad",
+        "  ",
+        '"text"',
+        '{"md_lattice": "x", "dep',
+        '{"md_lattice": {"x": "a\\tb"}}',
+        '{"md_lattice" :[1]}',
+        '{"md_lattice":-7}',
+        '{"md_lattice": true}',
+        '{"dep_tree": "0\\t1", "md_lattice": 5}',
+    ],
+)
 def test_malformed_answers(spark, body):
     with pytest.raises(Exception, match="malformed response of document 0"):
         m.decode_responses(responses(spark, body)).collect()
@@ -124,8 +137,29 @@ def test_malformed_answers(spark, body):
     assert tuple(row) == ("0", None, "malformed response of document 0")
 
 
+@pytest.mark.parametrize("text", ["7", "[1]", '{"md_lattice": 5}', "true", '"md_lattice":5'])
+def test_text_that_looks_like_json_is_text(spark, text):
+    body = json.dumps({"md_lattice": text})
+    assert m.decode_responses(responses(spark, body), fields=("md_lattice",)).first().md_lattice == text
+    # A field that is not asked for is not looked at.
+    other = json.dumps({"md_lattice": text, "dep_tree": 5})
+    assert m.decode_responses(responses(spark, other), fields=("md_lattice",)).first().md_lattice == text
+
+
+def test_documents_are_dealt_out(spark):
+    few = docs(spark, *[(str(i), "good") for i in range(40)]).coalesce(1)
+    lattice_of = lambda: lambda wire: json.dumps({"md_lattice": lattice(COOKS)})
+    for df in (
+        m.parse(few, lattice_of, partitions=5),
+        m.parse_dependencies(few, lattice_of, partitions=5),
+        m.text_to_tokens(few, lattice_of, partitions=5),
+    ):
+        assert df.rdd.getNumPartitions() == 5
+    assert m.text_to_dfm(few, lattice_of, partitions=5).agg({"n": "sum"}).first()[0] == 160
+
+
 def test_one_malformed_answer_among_good_ones(spark):
-    good = json.dumps({"md_lattice": lattice(BOYS)})
+    good = json.dumps({"md_lattice": lattice(COOKS)})
     mixed = responses(spark, good, "bad", good)
     with pytest.raises(Exception, match="malformed response of document 1"):
         m.parse(mixed).collect()

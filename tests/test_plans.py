@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import morphloom as m
-from fixtures import BOYS, BOYS_TREE, lattice
+from fixtures import COOKS, COOKS_TREE, lattice
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +12,7 @@ def stored(spark, tmp_path_factory):
     """Responses on disk, as a job would find them."""
     path = str(tmp_path_factory.mktemp("responses") / "t")
     spark.createDataFrame(
-        [(str(i), lattice(BOYS), lattice(BOYS_TREE), 1) for i in range(20)],
+        [(str(i), lattice(COOKS), lattice(COOKS_TREE), 1) for i in range(20)],
         "doc_id string, md_lattice string, dep_tree string, junk int",
     ).select("doc_id", F.to_json(F.struct("md_lattice", "dep_tree")).alias("response"), "junk").write.parquet(path)
     return spark.read.parquet(path)
@@ -54,7 +54,19 @@ def test_arrays_are_built_once(stored):
     assert "Filter (size(" not in plan(m.parse_dependencies(stored))
     # Conditions on fields must not split the line again in front of the generator.
     line = "split(CASE WHEN"
-    assert plan(m.text_to_dfm(stored)).count(line) == 1
+    parsed = m.parse(stored)
+    for df in (
+        m.text_to_dfm(stored),
+        m.remove_punct(parsed),
+        m.token_rows(parsed, True, True, ["NN"]),
+        m.to_tokens(parsed, pos_keep=["NN"]),
+        m.dfm_documents(parsed),
+        m.content_tokens(parsed, stopwords=["x"]),
+    ):
+        assert plan(df).count(line) == 1
+    # One line of each kind, the tree's first.
+    subjects = plan(m.relation_filter(m.parse_dependencies(stored), "subj"))
+    assert subjects.count(line) == 2
 
 
 def test_stopwords_are_broadcast(stored):
@@ -63,6 +75,8 @@ def test_stopwords_are_broadcast(stored):
 
 
 def test_counts_take_one_shuffle(stored):
+    names = m.featnames(m.content_tokens(m.parse(stored)))
+    assert plan(names).count("Exchange hashpartitioning") == 1
     assert plan(m.text_to_dfm(stored)).count("Exchange hashpartitioning") == 1
     direct = plan(m.topfeatures(m.content_tokens(m.parse(stored))))
     assert direct.count("Exchange hashpartitioning") == 1 and "TakeOrderedAndProject" in direct
