@@ -75,7 +75,8 @@ class Tree:
     def _grow(self, x, branch, leaf, rng) -> int:
         distinct = len(np.unique(x[: 4 * leaf], axis=0)) if len(x) > leaf else 1
         if len(x) > leaf and distinct > 1:
-            centres, own = _centres(x, min(branch, len(x)), rng)
+            # No more children than full leaves: the leaves grow with the sample, evenly.
+            centres, own = _centres(x, min(branch, -(-len(x) // leaf)), rng)
             used = np.unique(own)
             if len(used) > 1:
                 number = len(self.nodes)
