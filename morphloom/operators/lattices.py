@@ -7,8 +7,6 @@ shuffle. Every operator keeps ``doc_order`` if the table has it.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -247,21 +245,23 @@ def with_token_id(
     """
     require_columns(df, "doc_id", "sentence_id", order_col)
     sentence = [*key_columns(df), "sentence_id"]
+    # As one struct, which is never NULL itself, the keys may hold NULLs in a plain join,
+    # and the join uses the shuffle and the sort of the numbering.
     block = F.floor(_col(order_col) / F.lit(rows_per_block)).alias("_block")
-    blocks = df.groupBy(*sentence, block).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*sentence).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
+    place = F.struct(*sentence, block).alias("_place")
+    blocks = df.groupBy(place).agg(F.count(F.lit(1)).alias("_n"))
+    before = (
+        Window.partitionBy(*[F.col("_place")[c] for c in sentence])
+        .orderBy(F.col("_place")["_block"])
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     starts = blocks.select(
-        *sentence, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+        "_place", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
     )
-    inside = Window.partitionBy(*sentence, "_block").orderBy(order_col)
-    numbered = df.select("*", block).withColumn("_rank", F.row_number().over(inside))
+    inside = Window.partitionBy("_place").orderBy(order_col)
+    numbered = df.select("*", place).withColumn("_rank", F.row_number().over(inside))
     cols = [c for c in df.columns if c != "token_id"]
-    keys = [*sentence, "_block"]
-    starts = starts.select(*[F.col(k).alias(f"_at_{k}") for k in keys], "_start")
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys])
-    return numbered.join(starts, same).select(
+    return numbered.join(starts, "_place").select(
         *cols, (F.col("_start") + F.col("_rank")).cast("int").alias("token_id")
     )
 

@@ -84,6 +84,18 @@ def test_counts_take_one_shuffle(stored):
     assert plan(m.to_tokens(m.parse(stored))).count("Exchange hashpartitioning") == 1
 
 
+def test_numbering_shuffles_the_rows_once(spark, stored):
+    rows = m.explode_md(m.decode_responses(stored))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(m.with_token_id(rows, "position"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The rows; the sizes of the blocks by block, by sentence and by block again.
+    assert text.count("Exchange hashpartitioning") == 4
+    assert "SortMergeJoin" in text
+
+
 def test_first_rows_are_no_full_sort(stored):
     text = plan(m.first_n(m.parse(stored)))
     assert "TakeOrderedAndProject" in text and "Exchange range" not in text
