@@ -18,8 +18,11 @@ from pyspark.sql import DataFrame
 from morphloom.llm.common import columns
 
 MIN_REPEAT = 10  # words
-MAX_COVERED = 0.5  # of the words, by repeats of MIN_REPEAT words or more
-MAX_LONGEST = 0.3  # of the words, but LONGEST_FREE are always allowed
+# The base rule lets half of the words be in repeated 3-word windows. What is covered by
+# longer repeats is part of that, and two copies of a repeat cover twice its length: only
+# limits well below a half and a quarter can reject a text that the base rule passes.
+MAX_COVERED = 0.15  # of the words, by repeats of MIN_REPEAT words or more
+MAX_LONGEST = 0.05  # of the words, but LONGEST_FREE are always allowed
 LONGEST_FREE = 30
 BATCH = 400_000  # words handled together; a longer text is a batch of its own
 

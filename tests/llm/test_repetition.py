@@ -70,5 +70,30 @@ def test_verdict():
     assert m["longest_repeat"][0] == 100 and m["n_covered"][0] == 200
 
 
+def different(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+@pytest.mark.parametrize(
+    "passage, around, kept",
+    [
+        (0, 300, True),
+        (10, 300, True),  # 6 % covered
+        (240, 520, False),  # 48 % covered, and the base rule passes
+        (40, 300, False),  # 21 % covered
+        (25, 300, True),  # 14 % covered, shorter than LONGEST_FREE
+        (70, 960, False),  # 13 % covered, but the longest repeat is 6 %
+        (45, 960, True),
+    ],
+)
+def test_rejects_what_the_base_rule_passes(spark, passage, around, kept):
+    same = different("p", passage)
+    third = around // 3
+    words = different("a", third) + same + different("b", third) + same + different("c", third)
+    row = rp.quality(spark.createDataFrame([(1, " ".join(words))], SCHEMA)).first()
+    assert not row.base_failed and row.n_covered == (2 * passage if passage else 0)
+    assert row.kept == kept
+
+
 def test_empty_table(spark):
     assert rp.quality(spark.createDataFrame([], SCHEMA)).collect() == []
