@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from morphloom.llm import langid, mixing, pieces, simhash, suffix_dedup
 from morphloom.llm.common import keep, read
 
-# Of the tokens that the classifier finds in each domain, what is to be left. With more of
-# the good ones, documents that are good for the most part have a rate of one or more.
-LEFT = {"good": 1.2, "poor": 0.6, "toxic": 0.3}
+# Of the tokens that the classifier finds in each domain, what is to be left: at most one,
+# as a stage that only drops documents can meet no more.
+LEFT = {"good": 0.985, "poor": 0.6, "toxic": 0.1}
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,3 +72,24 @@ def test_thinned_keeps_clean_documents(spark):
     assert {i for i, d in truth.items() if d == "good"} <= set(ids)
     toxic = {i for i, d in truth.items() if d == "toxic"}
     assert len(toxic & set(ids)) < len(toxic) / 3
+
+
+def test_thinned_meets_its_targets(spark):
+    docs, labels, truth = tables(spark, 1500)
+    left = {"good": 0.97, "poor": 0.6, "toxic": 0.15}
+    model = mixing.train(docs, labels)
+    rows = mixing.mix(docs, model, left, relative=True, most=1.0).collect()
+    assert all(0 <= r.rate <= 1 for r in rows)
+    ids = {r.doc_id for r in mixing.thinned(docs, labels, left).collect()}
+    for d, share in left.items():
+        now = sum(r.n_tokens * r[f"p_{d}"] for r in rows)
+        assert abs(sum(r.n_tokens * r.rate * r[f"p_{d}"] for r in rows) - share * now) <= 0.002 * share * now
+        # what the filter itself leaves, up to the chance of the draw
+        assert abs(sum(r.n_tokens * r[f"p_{d}"] for r in rows if r.doc_id in ids) / now - share) < 0.09
+
+
+def test_targets_out_of_reach_are_told(spark):
+    docs, labels, _ = tables(spark)
+    members = mixing.memberships(docs, mixing.train(docs, labels))
+    with pytest.warns(UserWarning, match="the targets"):
+        mixing.solve(members, np.array([10.0**6] * 3), steps=2, most=1.0)
