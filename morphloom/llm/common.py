@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable, Hashable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Larger than any id: stands for a NULL doc_id where an order of ids is asked for.
 NO_ID = 2**63 - 1
 
+_CACHED = 2
+
 
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
@@ -49,6 +54,22 @@ def columns(docs: DataFrame, text: str = "binary") -> DataFrame:
     )
 
 
+def worker_cache(key: Hashable, make: Callable[[], object]):
+    """What ``make`` gave for ``key`` in this worker process, made on first use.
+
+    Functions of this subpackage travel by value, so their module globals are new in every
+    task. A module of its own outlives the task; Spark hands the worker to the next one.
+    Only the last ``_CACHED`` things are held.
+    """
+    held = sys.modules.setdefault("_morphloom_llm_worker", types.ModuleType("worker")).__dict__
+    kept = held.setdefault("kept", {})
+    value = kept.pop(key) if key in kept else make()
+    kept[key] = value
+    while len(kept) > _CACHED:
+        del kept[next(iter(kept))]
+    return value
+
+
 def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """Texts as bytes, NULL as empty."""
     return [x or b"" for x in column.to_pylist()]

@@ -9,8 +9,11 @@ import public_tokenizers
 
 from morphloom.llm import (
     ann_tree,
+    bitplane_clusters,
+    bpe_automaton,
     common,
     compression_quality,
+    k2_search,
     langid,
     licenses,
     mixing,
@@ -26,8 +29,11 @@ from morphloom.llm.common import read
 # Workers need not have this folder on their path: these functions travel with the job.
 for _module in (
     ann_tree,
+    bitplane_clusters,
+    bpe_automaton,
     common,
     compression_quality,
+    k2_search,
     langid,
     licenses,
     mixing,
@@ -94,6 +100,19 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf, "documents"))
 
 
+def op11_k2_search(spark: SparkSession, sf: str) -> DataFrame:
+    return k2_search.search(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+def op12_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe_automaton.encode_decode(read(spark, sf, "documents"), tokenizer)
+
+
+def op13_bitplane_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return bitplane_clusters.clusters(read(spark, sf, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -107,7 +126,13 @@ QUERIES = {
         op8_compression_quality,
         op9_pieces,
         op10_simhash,
+        op11_k2_search,
+        op12_bpe_automaton,
+        op13_bitplane_clusters,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_k2_search": k2_search.SQL,
+    "op13_bitplane_clusters": bitplane_clusters.sql(),
+}

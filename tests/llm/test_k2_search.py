@@ -1,0 +1,118 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from morphloom.llm import k2_search
+from morphloom.llm.k2_search import Treap, best
+
+SCHEMA = "doc_id long, text string"
+_TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return _TERM.findall(lower)
+
+
+def brute(docs, items, places=20):
+    counts = [(i, Counter(words(t))) for i, t in docs]
+    sizes = [sum(c.values()) for _, c in counts]
+    n_docs, total = sum(s > 0 for s in sizes), sum(sizes)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item_id, text in items:
+        scores = []
+        for (doc_id, c), n in zip(counts, sizes):
+            s = 0
+            for t in words(text):
+                if tf := c[t]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    m = 100 - 25 + (25 * n * n_docs) // total
+                    s += w * ((1000000000 * tf) // (1000 * tf + 12 * m))
+            if s > 0:
+                scores.append((-s, doc_id is None, doc_id or 0))
+        for rank, (s, none, doc_id) in enumerate(sorted(scores)[:places], 1):
+            out.append((item_id, rank, None if none else doc_id, -s))
+    return sorted(out, key=str)
+
+
+def corpus(n=400):
+    rng = random.Random(4)
+    vocabulary = ["the", "of"] * 10 + [f"w{i}" for i in range(150)] + ["É", "é", "中文", "ÅB", "٣", "x y"]
+    docs = []
+    for i in range(n):
+        text = "".join(rng.choice(vocabulary) + rng.choice(" ,.\n'-_[`{~") for _ in range(rng.choice([0, 1, 5, 40, 200])))
+        docs.append((i, text if i % 3 else text.upper()))
+    docs += [(1000 + i, "the same words W1 w2") for i in range(200)]  # a third of all rows
+    docs += [(5, docs[5][1]), (None, "the same words w1 w2"), (None, "w3"), (2000, None), (2001, " ,;"), (2002, "w7 " * 50_000)]
+    items = [(j, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 3, 30])))) for j in range(40)]
+    items += [(0, items[0][1]), (0, "w9 w9 w9 the"), (None, "w1 w2"), (90, None), (91, "..."), (92, "absent"), (93, "words")]
+    return docs, items
+
+
+@pytest.mark.parametrize("options", [{}, {"documents": 7}, {"cells": 20}, {"item_bytes": 200, "places": 3}])
+def test_against_brute_force(spark, options):
+    docs, items = corpus()
+    df = spark.createDataFrame(docs, SCHEMA).repartition(3).withColumn("n", F.lit("x")).withColumn("terms", F.lit(1))
+    asked = spark.createDataFrame(items, "item_id long, text string").withColumn("item", F.lit("clash"))
+    got = k2_search.search(df, asked, **options).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(docs, items, options.get("places", 20))
+
+
+def test_empty_tables(spark):
+    docs, items = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "item_id long, text string")
+    some = spark.createDataFrame([(1, "a b")], SCHEMA)
+    asked = some.toDF("item_id", "text")
+    for d, i in ((docs, asked), (some, items), (docs, items), (spark.createDataFrame([(1, None)], SCHEMA), asked)):
+        assert k2_search.search(d, i).collect() == []
+
+
+def test_terms_of_a_long_text_in_pieces(monkeypatch):
+    text = ("Ab-ç9 \x7f" * 500).encode()
+    whole = [w for part in k2_search.terms(text) for w in part]
+    monkeypatch.setattr(k2_search, "_PIECE", 16)
+    assert [w for part in k2_search.terms(text) for w in part] == whole == [b"ab", "ç9".encode()] * 500
+    assert list(k2_search.terms(b"")) == []
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_treap_holds_the_cells_and_descends_best_first(seed):
+    rng = np.random.default_rng(seed)
+    n_rows, n_cols = (int(x) for x in rng.integers(1, 40, 2))
+    grid = rng.integers(1, 10**10, (n_rows, n_cols)) * (rng.random((n_rows, n_cols)) < rng.choice([0.05, 0.4, 1]))
+    grid[0, 0] = 1
+    row, col = np.nonzero(grid)
+    order = rng.permutation(len(row))
+    treap = Treap(row[order], col[order], grid[row, col][order])
+    assert treap.top == grid.max()
+    for places in (1, 5, 100):
+        own = np.flatnonzero(rng.random(n_rows) < 0.5) if n_rows > 1 else np.array([0])
+        times = rng.integers(1, 4, len(own))
+        cols, scores = best(treap, own, times, places, split=int(rng.choice([1, 4, 32])))
+        sums = times @ grid[own] if len(own) else np.zeros(n_cols, np.int64)
+        limit = max(1, np.sort(sums)[::-1][min(places, n_cols) - 1])
+        assert dict(zip(cols.tolist(), scores.tolist())) == {j: s for j, s in enumerate(sums.tolist()) if s >= limit}
+
+
+def test_most_cells_are_not_visited():
+    """A range that cannot reach the last place is never split."""
+    rng = np.random.default_rng(0)
+    row, col = np.repeat(np.arange(16), 4096), np.tile(np.arange(4096), 16)
+    impact = np.where(col < 64, 10**6, 1) + rng.integers(0, 100, len(col))
+    treap, seen = Treap(row, col, impact), 0
+    children = treap.children
+
+    def counting(nodes, quadrant):
+        nonlocal seen
+        seen += nodes.size
+        return children(nodes, quadrant)
+
+    treap.children = counting
+    cols, _ = best(treap, np.arange(16), np.ones(16, np.int64), 20)
+    assert len(cols) >= 20 and cols.max() < 64
+    assert seen < 0.15 * len(row)
