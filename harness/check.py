@@ -27,10 +27,12 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def compare(spark: SparkSession, con, sf: str, name: str) -> str | None:
+def compare(
+    spark: SparkSession, con, sf: str, name: str, queries=QUERIES, oracles=ORACLES
+) -> str | None:
     """None if both sides agree, else what differs."""
-    got = QUERIES[name](spark, sf).toArrow()
-    want = con.sql(ORACLES[name]).to_arrow_table()
+    got = queries[name](spark, sf).toArrow()
+    want = con.sql(oracles[name]).to_arrow_table()
     cols = sorted(got.column_names)
     if cols != sorted(want.column_names):
         return f"columns {cols} / {sorted(want.column_names)}"

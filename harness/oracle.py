@@ -246,6 +246,12 @@ ORACLES = {
              CAST(row_number() OVER (PARTITION BY doc_id, sentence_id ORDER BY -token_id)
                   AS INTEGER) AS token_id
       FROM morphs""",
+    "token_id_sparse": _DOCS
+    + """
+      SELECT doc_id, sentence_id, CAST(token_id AS BIGINT) * -7000000011 AS place, token,
+             CAST(row_number() OVER (PARTITION BY doc_id, sentence_id ORDER BY -token_id)
+                  AS INTEGER) AS token_id
+      FROM morphs""",
     "parse_morphemes": _DOCS + f" SELECT {_MORPH} FROM morphs",
     "parse_dependencies": _DOCS + _DEP_SELECT,
     "parse_repeated_ids": _with(_TURNS_SRC) + f" SELECT doc_order, {_MORPH} FROM morphs",

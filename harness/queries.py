@@ -176,6 +176,18 @@ def token_id_window(spark, sf):
     return m.with_token_id(md, "place", rows_per_block=50)
 
 
+def token_id_sparse(spark, sf):
+    """Numbers the words of a document from the end by an order of far-off values, as
+    times would be: seven thousand million apart, on several levels of blocks."""
+    md = explode_md(spark, sf).select(
+        "doc_id",
+        "sentence_id",
+        (F.col("position").cast("bigint") * -7_000_000_011).alias("place"),
+        "token",
+    )
+    return m.with_token_id(md, "place", rows_per_block=1000)
+
+
 def parse_morphemes(spark, sf):
     return parsed(spark, sf)
 
@@ -402,6 +414,7 @@ QUERIES = {
         explode_dep,
         coerce_int,
         token_id_window,
+        token_id_sparse,
         parse_morphemes,
         parse_dependencies,
         parse_repeated_ids,

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from morphloom.functions import once, strip_punct
 from morphloom.operators.checkpoints import materialize
-from morphloom.operators.skew import BROADCAST_CHARS, BROADCAST_ROWS, is_small
+from morphloom.operators.skew import (
+    BROADCAST_CHARS,
+    BROADCAST_ROWS,
+    filter_bits,
+    measure,
+    suspects,
+    word_filter,
+)
 from morphloom.operators.tokens import (
     _remove_punct,
     drop_empty_tokens,
@@ -44,9 +51,11 @@ def remove_stopwords(
 
     ``stopwords`` is a table with a ``word`` column, a list, or None (or empty) for no
     removal. A table is measured when the plan is built: up to ``broadcast_rows`` words
-    and ``broadcast_chars`` characters it is broadcast. A larger one is joined by
-    shuffle, where adaptive execution splits the partition of a common word; ``df`` is
-    read once either way.
+    and ``broadcast_chars`` characters it is broadcast. Of a larger one a Bloom filter is
+    broadcast: rows whose word it rules out stay where they are, and only the others, the
+    stopwords and one word in 32 by chance, are shuffled to be joined with the list, where
+    adaptive execution splits the partition of a common word. ``df`` is then read twice,
+    so store it first if it is costly or not the same on every reading.
     """
     if stopwords is None:
         return df
@@ -54,14 +63,20 @@ def remove_stopwords(
         listed = sorted({w.lower() for w in stopwords if w is not None})
         if not listed:
             return df
-        small = len(listed) <= broadcast_rows and sum(map(len, listed)) <= broadcast_chars
+        n, size = len(listed), sum(map(len, listed))
         stopwords = df.sparkSession.createDataFrame([(w,) for w in listed], "word string")
     else:
         require_columns(stopwords, "word")
-        small = is_small(stopwords, "word", broadcast_rows, broadcast_chars)
+        n, size = measure(stopwords, "word")
     words = stopwords.select(F.lower("word").alias("_word")).where("_word IS NOT NULL")
-    words = F.broadcast(words) if small else words.hint("merge")
-    return df.join(words, F.lower(F.col(col)) == F.col("_word"), "left_anti")
+    value = F.lower(F.col(col))
+    if n <= broadcast_rows and size <= broadcast_chars:
+        return df.join(F.broadcast(words), value == F.col("_word"), "left_anti")
+    bits = filter_bits(n)
+    if df.isStreaming or n > bits:  # nothing would be ruled out by a filter that is full
+        return df.join(words.hint("merge"), value == F.col("_word"), "left_anti")
+    maybe, other = suspects(df, value, word_filter(words, "_word", bits), bits)
+    return other.union(maybe.join(words.hint("merge"), value == F.col("_word"), "left_anti"))
 
 
 def _content_rows(

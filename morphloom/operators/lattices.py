@@ -7,8 +7,9 @@ shuffle. Every operator keeps ``doc_order`` if the table has it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from morphloom.functions import (
     int_or_null,
@@ -22,6 +23,7 @@ from morphloom.schemas import DEP_COLUMNS, MD_COLUMNS, key_columns, require_colu
 
 # Rows of one sentence numbered in one window group; see with_token_id.
 ROWS_PER_BLOCK = 100_000
+_FAN = 1024  # blocks in a block of the next level, at least
 
 
 def _explode_lattice(
@@ -230,42 +232,103 @@ def _with_status(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def with_token_id(
-    df: DataFrame, order_col: str, rows_per_block: int = ROWS_PER_BLOCK
+    df: DataFrame,
+    order_col: str,
+    rows_per_block: int = ROWS_PER_BLOCK,
+    order_range: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Number the rows 1..n inside each sentence of an existing table.
 
-    ``order_col`` is an integer that differs between the rows of a sentence. The
-    numbering runs in blocks of ``rows_per_block`` consecutive order values, so no
-    task ever holds more than one block of a sentence, however long it is; the
-    block sizes, a small table if the order values are dense, then say where each
-    block's numbers start. Rows with a NULL order value come first in their sentence;
-    NULL keys are keys like others, so no row is lost.
+    ``order_col`` is an integer, a date or a timestamp that differs between the rows of a
+    sentence; its values may lie as far apart as they like. The numbering is a prefix sum
+    over a tree: rows lie in blocks of ``rows_per_block`` consecutive order values, as many
+    consecutive blocks (at least 1024) in a block of the next level, and so on until one
+    block holds the whole range of values. A block starts where the ones before it in its own larger block
+    end, so no window holds more than twice as many rows, however long a sentence
+    is and however sparse its order values are.
+
+    How many levels there are follows from the smallest and largest order value, which are
+    looked up when the plan is built unless given as ``order_range``. If the range fits in
+    one block, each sentence is numbered by itself and nothing is joined. Rows with a NULL
+    order value come first in their sentence; NULL keys are keys like others, so no row is
+    lost.
 
     Decoded responses carry the number already and need none of this.
     """
     require_columns(df, "doc_id", "sentence_id", order_col)
+    if rows_per_block < 1:
+        raise ValueError("rows_per_block must be 1 or more")
     sentence = [*key_columns(df), "sentence_id"]
+    order = _as_number(df, order_col)
+    if order_range is None:
+        order_range = tuple(df.agg(F.min(order), F.max(order)).first())
+    least, most = (x or 0 for x in order_range)
+    cols = [c for c in df.columns if c != "token_id"]
+    rows = df.select("*", order.alias("_order"))
+    if most - least < rows_per_block:
+        whole = Window.partitionBy(*sentence).orderBy("_order")
+        return rows.withColumn("_rank", F.row_number().over(whole)).select(
+            *cols, F.col("_rank").alias("token_id")
+        )
+
     # As one struct, which is never NULL itself, the keys may hold NULLs in a plain join,
     # and the join uses the shuffle and the sort of the numbering.
-    block = F.floor(_col(order_col) / F.lit(rows_per_block)).alias("_block")
-    place = F.struct(*sentence, block).alias("_place")
-    blocks = df.groupBy(place).agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy(*[F.col("_place")[c] for c in sentence])
-        .orderBy(F.col("_place")["_block"])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = blocks.select(
-        "_place", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
-    )
-    inside = Window.partitionBy("_place").orderBy(order_col)
-    numbered = df.select("*", place).withColumn("_rank", F.row_number().over(inside))
-    cols = [c for c in df.columns if c != "token_id"]
+    def place(block):
+        return F.struct(*[F.col(c) for c in sentence], block.alias("_block")).alias("_place")
+
+    def within(column):
+        return [F.col(column)[c].alias(c) for c in sentence]
+
+    # Whole division keeps the order and, unlike a quotient, is exact for any bigint. It
+    # cuts towards zero, so the block around zero has up to twice as many values.
+    fan = max(_FAN, rows_per_block)
+    levels = [
+        rows.groupBy(place(F.expr(f"_order div {rows_per_block}"))).agg(F.count(F.lit(1)).alias("_n"))
+    ]
+    low, high = (int(Decimal(x) / rows_per_block) for x in (least, most))
+    while high - low >= fan:
+        above = levels[-1].select(*within("_place"), F.expr(f"_place._block div {fan}").alias("_block"), "_n")
+        levels.append(above.groupBy(place(F.col("_block"))).agg(F.sum("_n").alias("_n")))
+        low, high = (int(Decimal(x) / fan) for x in (low, high))
+
+    def started(level: DataFrame, key: Column) -> DataFrame:
+        """Where each block starts in the larger block ``key``."""
+        before = (
+            Window.partitionBy("_above")
+            .orderBy(F.col("_place")["_block"])
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        return level.select("_place", "_n", key.alias("_above")).select(
+            "_place", "_above", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+        )
+
+    starts = started(levels[-1], F.struct(*within("_place"))).select("_place", "_start")
+    for level in reversed(levels[:-1]):
+        parent = F.expr(f"_place._block div {fan}").alias("_block")
+        own = started(level, F.struct(*within("_place"), parent))
+        of = starts.select(F.col("_place").alias("_above"), F.col("_start").alias("_base"))
+        starts = own.join(of, "_above").select(
+            "_place", (F.col("_base") + F.col("_start")).alias("_start")
+        )
+    inside = Window.partitionBy("_place").orderBy("_order")
+    numbered = rows.select("*", place(F.expr(f"_order div {rows_per_block}"))).withColumn("_rank", F.row_number().over(inside))
     return numbered.join(starts, "_place").select(
         *cols, (F.col("_start") + F.col("_rank")).cast("int").alias("token_id")
     )
 
 
+def _as_number(df: DataFrame, col: str) -> Column:
+    """An order column as an integer: days of a date, microseconds of a timestamp."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(F.col(col).cast("timestamp"))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col)
+    return _col(col)
+
+
 def ambiguous_lattices(decoded: DataFrame) -> DataFrame:
     """``doc_id, ma_lattice``, undecoded, of the documents that have morphemes."""
     require_columns(decoded, "doc_id", "md_lattice", "ma_lattice")

@@ -99,8 +99,7 @@ def as_tokens(
     if sentences_per_part is not None:
         part = F.floor((F.col("sentence_id") - 1) / F.lit(sentences_per_part)).cast("int")
     entry = F.when(usable(value), F.struct(*_POSITION, value.alias("v")))
-    places = F.transform("_entries", lambda e: F.struct(e["sentence_id"], e["token_id"]))
-    repeated = F.size(F.array_distinct(places)) < F.size("_entries")
+    repeated = _place_taken_twice(F.col("_entries"))
     stop = F.raise_error(
         F.concat(F.lit("several texts without doc_order for document "), F.col("doc_id"))
     ).cast("array<string>")
@@ -113,6 +112,19 @@ def as_tokens(
     return _with_concatenator(tokens, concatenator)
 
 
+def _place_taken_twice(entries: Column) -> Column:
+    """Whether two neighbours in the sorted entries have one place. Linear; NULL is a place
+    like others."""
+    others = F.size(entries) - 1
+    same = F.zip_with(
+        F.slice(entries, F.lit(1), others),
+        F.slice(entries, F.lit(2), others),
+        lambda a, b: a["sentence_id"].eqNullSafe(b["sentence_id"])
+        & a["token_id"].eqNullSafe(b["token_id"]),
+    )
+    return F.when(others > 0, F.exists(same, lambda x: x)).otherwise(False)
+
+
 def to_tokens(
     df: DataFrame,
     use_lemma: bool = True,

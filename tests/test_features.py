@@ -159,7 +159,9 @@ def test_stopword_list_too_big_to_broadcast(spark, stops):
     df = spark.createDataFrame(rows, "doc_id string, sentence_id int, token_id int, token string")
     table = spark.createDataFrame([(w,) for w in stops], "word string")
     left = m.remove_stopwords(df, table, broadcast_rows=0)
-    assert "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+    plan = left._jdf.queryExecution().executedPlan().toString().split("\n")
+    anti = [line for line in plan if "LeftAnti" in line]
+    assert anti and not any("Broadcast" in line for line in anti)  # the filter is, the list is not
     assert left.columns == df.columns
     want = [r for r in rows if r[3] not in stops]
     assert sorted(map(tuple, left.collect()), key=str) == sorted(want, key=str)
@@ -226,3 +228,39 @@ def test_vectors_from_stored_tables(spark, tmp_path):
     index = spark.read.parquet(str(tmp_path / "index"))
     got = m.dfm_vectors(table, index)
     assert got.select(F.sum(F.aggregate("values", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] == 300
+
+
+def test_word_filter_rules_out_all_but_a_few(spark):
+    """Rows that are shuffled: the listed words and a false share of about one in 32."""
+    words = spark.range(20_000).selectExpr("concat('s', id) AS word")
+    df = spark.range(60_000).selectExpr("concat(if(id % 3 = 0, 's', 't'), id) AS token", "id AS _row")
+    bits = skew.filter_bits(20_000)
+    assert bits == 1 << 20
+    table = skew.word_filter(words, "word", bits)
+    assert table.count() == bits // 32768 and table.selectExpr("max(size(_words)) n").first().n == 512
+    maybe, other = skew.suspects(df, df["token"], table, bits)
+    listed = {f"s{i}" for i in range(0, 20_000) if i % 3 == 0}
+    found = {r.token for r in maybe.collect()}
+    assert listed <= found and len(found) - len(listed) < 60_000 / 25
+    assert maybe.count() + other.count() == 60_000 and maybe.columns == df.columns
+
+
+def test_large_list_shuffles_suspects_only(spark):
+    words = spark.range(5000).selectExpr("concat('W', id) AS word")
+    df = spark.createDataFrame(
+        [(t,) for t in ["w1", "W2", "W2", "x", "x", "", None, None, "w5000"] * 3], "token string"
+    )
+    left = m.remove_stopwords(df, words, broadcast_rows=100)
+    got = sorted((r.token for r in left.collect()), key=str)
+    assert got == sorted(["x", "x", "", None, None, "w5000"] * 3, key=str)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    union = plan[plan.index("Union") :]
+    before, after = union.split("SortMergeJoin", 1)
+    assert "Exchange hashpartitioning(lower(token" not in before
+    assert "Exchange hashpartitioning(lower(token" in after
+
+
+def test_filter_size_is_bounded():
+    assert skew.filter_bits(0) == skew.filter_bits(1) == 1 << 15
+    assert skew.filter_bits(10**12) == skew.MAX_BITS
+    assert skew.filter_bits(1 << 20) == 1 << 25

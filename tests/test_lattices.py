@@ -253,6 +253,48 @@ def test_token_ids_in_blocks(spark, rows_per_block):
     assert got == {(*k, p): i + 1 for k, ps in groups.items() for i, p in enumerate(ps)}
 
 
+@pytest.mark.parametrize("rows_per_block", [7, 100_000])
+def test_token_ids_of_sparse_order_values(spark, rows_per_block):
+    """A sentence whose order values lie far apart, over the whole range of a bigint."""
+    rng = random.Random(6)
+    far = sorted({rng.randrange(-(2**63), 2**63) for _ in range(150)} | {-(2**63), 2**63 - 1, 0, -1, 1})
+    rows = [("hot", 1, p) for p in far] + [("a", 1, 10**12), ("a", 1, 10), ("a", None, 5), (None, 1, 7)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, place long")
+    got = [(r.doc_id, r.sentence_id, r.place, r.token_id) for r in m.with_token_id(df, "place", rows_per_block).collect()]
+    want = [("hot", 1, p, i + 1) for i, p in enumerate(far)]
+    want += [("a", 1, 10, 1), ("a", 1, 10**12, 2), ("a", None, 5, 1), (None, 1, 7, 1)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_token_ids_by_timestamp_and_date(spark):
+    df = spark.sql(
+        "SELECT 'd' doc_id, 1 sentence_id, timestamp_micros(id * id * 977000) at, date_add(DATE'2020-01-01', int(id * 13)) day"
+        " FROM range(300)"
+    )
+    for col in ("at", "day"):
+        got = m.with_token_id(df, col, rows_per_block=10).orderBy(col).collect()
+        assert [r.token_id for r in got] == list(range(1, 301))
+
+
+def test_no_window_holds_a_long_sparse_sentence(spark):
+    """A million rows with timestamps in one sentence: the windows are over blocks."""
+    df = spark.sql("SELECT 'd' doc_id, 1 sentence_id, id * 1000003 AS at FROM range(1000000)")
+    out = m.with_token_id(df, "at", rows_per_block=1000)
+    assert out.agg({"token_id": "max"}).first()[0] == 1_000_000
+    assert out.where("token_id <> at div 1000003 + 1").count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "windowspecdefinition(doc_id" not in plan
+
+
+def test_dense_order_values_are_numbered_without_a_join(spark):
+    df = spark.sql("SELECT 'd' doc_id, 1 sentence_id, id AS at FROM range(1000)")
+    plan = m.with_token_id(df, "at")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    given = m.with_token_id(df, "at", rows_per_block=10, order_range=(0, 999)).orderBy("at").collect()
+    assert [r.token_id for r in given] == list(range(1, 1001))
+
+
 def test_keep_lattice(spark, tmp_path):
     log = str(tmp_path / "calls")
 

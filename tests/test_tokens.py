@@ -1,3 +1,4 @@
+import time
 import random
 
 import pytest
@@ -146,3 +147,26 @@ def test_first_rows_and_summary(spark):
     ]
     assert m.first_n(df).count() == 10
     assert m.summary(df).first() == (16, 2)
+
+
+def test_long_document_in_linear_time(spark):
+    """80,000 tokens of one document: the check of places compares neighbours only."""
+    df = spark.sql(
+        "SELECT 'd' doc_id, int(id div 40 + 1) sentence_id, int(id % 40 + 1) token_id,"
+        " string(id) token, string(id) lemma, 'NN' pos FROM range(80000)"
+    )
+    m.as_tokens(df.limit(100)).collect()
+    start = time.time()
+    (row,) = m.as_tokens(df).collect()
+    assert time.time() - start < 2
+    assert row.tokens == [str(i) for i in range(80_000)]
+
+
+def test_repeated_place_at_either_end_stops_the_job(spark):
+    rows = [("d", 1, 1, "a"), ("d", 1, 2, "b"), ("d", 2, 1, "c"), ("d", None, 1, "e"), ("d", None, 2, "f")]
+    schema = "doc_id string, sentence_id int, token_id int, token string"
+    assert m.as_tokens(spark.createDataFrame(rows, schema)).first().tokens == ["e", "f", "a", "b", "c"]
+    assert m.as_tokens(spark.createDataFrame(rows[:1], schema)).first().tokens == ["a"]
+    for extra in (("d", 1, 1, "x"), ("d", 2, 1, "x"), ("d", None, 2, "x")):
+        with pytest.raises(Exception, match="doc_order"):
+            m.as_tokens(spark.createDataFrame([*rows, extra], schema)).collect()
