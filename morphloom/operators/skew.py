@@ -41,7 +41,7 @@ def _bit(word: Column, bits: int) -> Column:
 
 
 def word_filter(words: DataFrame, col: str, bits: int) -> DataFrame:
-    """A Bloom filter as a table ``_row, _words``: the bit at each word's hash is set.
+    """A Bloom filter as a table ``_filter_row, _filter_words``: the bit at each word's hash is set.
 
     A row holds 32,768 bits, so the whole of it has a known size, ``bits`` / 8 bytes at
     most, and a bit is found by a join on the row and an access to its array.
@@ -53,11 +53,11 @@ def word_filter(words: DataFrame, col: str, bits: int) -> DataFrame:
     )
     place = F.col("_cell").bitwiseAND(F.lit(511)).cast("int")
     pairs = F.map_from_entries(F.collect_list(F.struct(place, "_value")))
-    return cells.groupBy(F.shiftright("_cell", 9).alias("_row")).agg(
+    return cells.groupBy(F.shiftright("_cell", 9).alias("_filter_row")).agg(
         F.transform(
             F.sequence(F.lit(0), F.lit(511)),
             lambda i: F.coalesce(F.try_element_at(pairs, i), F.lit(0).cast("bigint")),
-        ).alias("_words")
+        ).alias("_filter_words")
     )
 
 
@@ -66,7 +66,7 @@ def suspects(df: DataFrame, word: Column, filter_table: DataFrame, bits: int) ->
     is not. No shuffle; the filter is broadcast. ``df`` is read for each."""
     bit = _bit(word, bits)
     cell = F.shiftright(bit, 6).bitwiseAND(F.lit(511)).cast("int")
-    marked = df.join(F.broadcast(filter_table), F.shiftright(bit, 15) == F.col("_row"), "left")
-    found = F.getbit(F.get("_words", cell), bit.bitwiseAND(F.lit(63)).cast("int"))
+    marked = df.join(F.broadcast(filter_table), F.shiftright(bit, 15) == F.col("_filter_row"), "left")
+    found = F.getbit(F.get("_filter_words", cell), bit.bitwiseAND(F.lit(63)).cast("int"))
     maybe = F.coalesce(found == 1, F.lit(False))
     return marked.where(maybe).select(*df.columns), marked.where(~maybe).select(*df.columns)

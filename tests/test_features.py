@@ -233,11 +233,11 @@ def test_vectors_from_stored_tables(spark, tmp_path):
 def test_word_filter_rules_out_all_but_a_few(spark):
     """Rows that are shuffled: the listed words and a false share of about one in 32."""
     words = spark.range(20_000).selectExpr("concat('s', id) AS word")
-    df = spark.range(60_000).selectExpr("concat(if(id % 3 = 0, 's', 't'), id) AS token", "id AS _row")
+    df = spark.range(60_000).selectExpr("concat(if(id % 3 = 0, 's', 't'), id) AS token", "id AS _cell")
     bits = skew.filter_bits(20_000)
     assert bits == 1 << 20
     table = skew.word_filter(words, "word", bits)
-    assert table.count() == bits // 32768 and table.selectExpr("max(size(_words)) n").first().n == 512
+    assert table.count() == bits // 32768 and table.selectExpr("max(size(_filter_words)) n").first().n == 512
     maybe, other = skew.suspects(df, df["token"], table, bits)
     listed = {f"s{i}" for i in range(0, 20_000) if i % 3 == 0}
     found = {r.token for r in maybe.collect()}
