@@ -12,7 +12,6 @@ language with the largest mean over its words.
 from __future__ import annotations
 
 import random
-import re
 import zlib
 
 import numpy as np
@@ -28,20 +27,21 @@ FEATURES = 1 << 16
 ROUNDS = 20
 SPAN = 12  # mean words of a span of training text
 CHAIN = 64  # words of a training chain
-TABLE = 1_000_000  # words whose scores a task keeps
+TABLE = 300_000  # words whose scores a task keeps
+LONG = 2048  # words of a chain from which on it is worked off in segments
 REJECT = 0.5
 
-_LETTERS = re.compile(r"[^\W\d_]+")
 _PIECES = 20_000
-_WORDS = 1_000_000
+_CHARS = 750_000  # of the texts that are tagged at once; a longer one is alone
 _MULTIPLIERS = [
     [np.uint64(0x9E3779B97F4A7C15 * (16 * n + k + 1) % 2**64 | 1) for k in range(n)] for n in range(5)
 ]
 
 
 def letters(word: str) -> bytes:
-    """What of a word speaks for its language."""
-    return "".join(_LETTERS.findall(word.lower())).encode()
+    """What of a word speaks for its language: its letters, none of the other word signs."""
+    word = word.lower()
+    return (word if word.isalpha() else "".join(filter(str.isalpha, word))).encode()
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -129,6 +129,54 @@ def posteriors(
     return forward, expected
 
 
+def long_posteriors(emission: np.ndarray, transition: np.ndarray) -> np.ndarray:
+    """:func:`posteriors` of the states of one long chain, without a step per word.
+
+    The chain is cut into about as many segments as a segment has words. The segments
+    advance together, from every state they may begin in, to the products of their
+    transitions; a scan over these gives the probabilities at all borders, from where the
+    words of all segments are worked off together again.
+    """
+    n, k = emission.shape
+    size = int(np.sqrt(n)) + 1
+    m = -(-n // size)
+    move = np.exp(transition - transition.max())
+    local = np.ones((m * size, k))
+    local[:n] = np.exp(emission - emission.max(axis=1, keepdims=True))
+    local = local.reshape(m, size, k)
+    last = n - (m - 1) * size  # words of the last segment
+    product = np.broadcast_to(np.eye(k), (m, k, k)).copy()
+    for t in range(size):
+        here = m if t < last else m - 1
+        step = (product[:here] @ move) * local[:here, t, None]
+        if t == 0:
+            step[0] = np.diag(local[0, 0])  # nothing precedes the first word
+        product[:here] = step / step.sum(axis=(1, 2), keepdims=True)
+    ahead, behind = np.ones((m, k)), np.ones((m, k))
+    for s in range(1, m):
+        ahead[s] = ahead[s - 1] @ product[s - 1]
+        ahead[s] /= ahead[s].sum()
+    for s in range(m - 1, 0, -1):
+        behind[s - 1] = product[s] @ behind[s]
+        behind[s - 1] /= behind[s - 1].sum()
+    forward = np.empty_like(local)
+    state = ahead
+    for t in range(size):
+        step = (state @ move) * local[:, t]
+        if t == 0:
+            step[0] = local[0, 0]
+        state = step / step.sum(axis=1, keepdims=True)
+        forward[:, t] = state
+    state = behind
+    for t in range(size - 1, -1, -1):
+        here = m if t < last else m - 1
+        both = forward[:here, t] * state[:here]
+        forward[:here, t] = both / both.sum(axis=1, keepdims=True)
+        step = (local[:here, t] * state[:here]) @ move.T
+        state[:here] = step / step.sum(axis=1, keepdims=True)
+    return forward.reshape(m * size, k)[:n]
+
+
 class Model:
     def __init__(self, languages: list[str], weights: np.ndarray, transition: np.ndarray):
         self.languages, self.weights, self.transition = languages, weights, transition
@@ -187,26 +235,43 @@ class Tagger:
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.emission = np.zeros((0, len(self.model.languages)))
-        self.spoken = np.zeros(0, bool)
+        self.emission = np.zeros((1024, len(self.model.languages)), np.float32)
+        self.spoken = np.zeros(1024, bool)
 
     def learn(self, words: set[str]) -> None:
         new = list(words.difference(self.place))
         if self.place and len(self.place) + len(new) > self.limit:
             self.clear()
             new = list(words)
-        for word in new:
-            self.place[word] = len(self.place)
+        begin, end = len(self.place), len(self.place) + len(new)
+        if end > len(self.spoken):
+            room = max(end, 2 * len(self.spoken)) - begin
+            self.emission = np.concatenate(
+                [self.emission[:begin], np.zeros((room, self.emission.shape[1]), np.float32)]
+            )
+            self.spoken = np.concatenate([self.spoken[:begin], np.zeros(room, bool)])
+        for at, word in enumerate(new, begin):
+            self.place[word] = at
         bare = [letters(w) for w in new]
-        self.emission = np.concatenate([self.emission, scores(bare, self.model.weights)])
-        self.spoken = np.concatenate([self.spoken, np.array([bool(b) for b in bare], bool)])
+        self.emission[begin:end] = scores(bare, self.model.weights)
+        self.spoken[begin:end] = [bool(b) for b in bare]
 
     def words(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities of the languages for every word, and which words have letters."""
         self.learn(set().union(*split))
-        at = np.array([self.place[w] for words in split for w in words], np.int64)
+        at = np.fromiter((self.place[w] for words in split for w in words), np.int64)
         lengths = np.array([len(words) for words in split], np.int64)
-        found, _ = posteriors(self.emission[at], lengths, self.model.transition)
+        emission, transition = self.emission[at].astype(np.float64), self.model.transition
+        long = np.flatnonzero(lengths > LONG)
+        if not len(long):
+            return posteriors(emission, lengths, transition)[0], self.spoken[at]
+        found = np.empty_like(emission)
+        whole = np.repeat(lengths <= LONG, lengths)
+        found[whole] = posteriors(emission[whole], lengths[lengths <= LONG], transition)[0]
+        ends = np.cumsum(lengths)
+        for i in long:
+            chain = slice(ends[i] - lengths[i], ends[i])
+            found[chain] = long_posteriors(emission[chain], transition)
         return found, self.spoken[at]
 
     def texts(self, texts: list[str]) -> list[tuple[str, float]]:
@@ -231,8 +296,8 @@ def held_out(folds: int = 5, fold: int = 0) -> Column:
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """Fit to a sample of ``per_language`` texts of each ``lang`` outside the held-out fold."""
-    own = docs.where(~held_out())
-    _, rows = sample(own, own.select("doc_id", F.col("lang").alias("label")), per_language)
+    own = docs.where(~held_out()).select("doc_id", F.col("lang").alias("label"), "text")
+    _, rows = sample(own, None, per_language)
     return fit([(lang, text) for lang, text in rows])
 
 
@@ -250,9 +315,9 @@ def _rows(model: Model | None, batches):
 
     for batch in batches:
         texts, size, out = [], 0, []
-        for text in batch.column("text").to_pylist():
-            text = text or ""
-            if texts and size + len(text) > 6 * _WORDS:
+        for text in batch.column("text"):
+            text = text.as_py() or ""
+            if texts and size + len(text) > _CHARS:
                 out += tagged(texts)
                 texts, size = [], 0
             texts.append(text)

@@ -28,14 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from morphloom.llm.common import columns, keep, shared_folder
+from morphloom.llm.common import columns, keep, shared_folder, worker_cache
 
 MAGIC = b"PFOR0001"
 BLOCK = 512
 PERCENTILE = 0.9
 SEGMENT = 1 << 24  # ids after which a file is closed, with the document that reaches it
-TABLE = 1_000_000
+TABLE = 500_000  # words whose ids a worker keeps
 END = 2
+BEGIN = 64  # characters of a text that tell where it goes among those of its id
 
 _HEAD = "<8sIQII"
 _BLOCK = "<IBH"
@@ -49,6 +50,7 @@ _SHOWN = dict.fromkeys([*range(33, 127), *range(161, 173), *range(174, 256)])
 _ALPHABET = {b: b for b in _SHOWN} | {
     b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)
 }
+_BLANKS = dict.fromkeys(map(ord, "\n\t\r"), " ")
 _PLAIN = re.compile("[A-Za-zß-öø-ÿ]+")
 
 
@@ -83,9 +85,7 @@ class Words(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        for blank in "\n\t\r":
-            text = text.replace(blank, " ")
-        return b"".join(map(self.__getitem__, text.split(" ")))
+        return b"".join(map(self.__getitem__, text.translate(_BLANKS).split(" ")))
 
 
 def _packed(values: np.ndarray, width: int) -> np.ndarray:
@@ -207,11 +207,12 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end: int = END, seg
     """Encode every text and write the ids, in the order of ``doc_id``, to ``folder``.
 
     ``end`` is appended to each document. NULL ids come first; rows with one id are in
-    the order of their texts. Texts are dealt out in ranges of ``doc_id``.
+    the order of their texts. Texts are dealt out in ranges of ``doc_id`` and of how they
+    begin, so that the texts of an id that very many rows share are dealt out, too.
     """
 
     def run(batches):
-        table = Words(tokenizer_file)
+        table = worker_cache(("words", tokenizer_file), lambda: Words(tokenizer_file))
         closing = np.array([end], "<u4").tobytes()
         doc_ids, counts, parts, total = [], [], [], 0
 
@@ -232,8 +233,10 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end: int = END, seg
         if doc_ids:
             yield close()
 
-    ordered = columns(docs, "string").repartitionByRange("doc_id")
-    segments = ordered.sortWithinPartitions("doc_id", "text").mapInArrow(run, "segment binary")
+    begin = F.substring("text", 1, BEGIN)
+    ordered = columns(docs, "string").repartitionByRange("doc_id", begin)
+    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    segments = ordered.mapInArrow(run, "segment binary")
     as_rows = segments.select(F.col("segment").cast("string").alias("value"))
     as_rows.write.option("maxRecordsPerFile", 1).text(folder)
 
