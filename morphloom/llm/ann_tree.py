@@ -118,32 +118,43 @@ def exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return dots / (np.sqrt(np.einsum("j,j->", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
 
 
-def nearest(q_ids, q, c_ids, c, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, candidate, score) of the ``k`` nearest in a block, ties by smaller id.
+def nearest(q_ids, q, c_ids, c, k: int) -> tuple[np.ndarray, ...]:
+    """(query, candidate, score, row of the candidate) of the ``k`` nearest ids in a block,
+    ties by smaller id. An id goes by the nearest of its vectors.
 
-    Of equal vectors only the k + 1 smallest ids can be among them.
+    Of the ids of equal vectors only the k + 1 smallest can be among them.
     """
-    order = np.argsort(c_ids, kind="stable")
-    c_ids, c = c_ids[order], np.ascontiguousarray(c[order])
+    rows = np.argsort(c_ids, kind="stable")
+    c_ids, c = c_ids[rows], np.ascontiguousarray(c[rows])
     _, same = np.unique(c.view(np.dtype((np.void, c.dtype.itemsize * c.shape[1]))).ravel(), return_inverse=True)
-    by = np.argsort(same, kind="stable")
-    starts = np.flatnonzero(np.diff(same[by], prepend=-1))
-    place = np.arange(len(by)) - np.repeat(starts, np.diff(np.append(starts, len(by))))
-    few = np.sort(by[place <= k])
-    c_ids, c = c_ids[few], c[few]
+    by = np.lexsort((c_ids, same))
+    new = np.diff(same[by], prepend=-1) != 0
+    # an id with one vector twice counts once
+    fresh = new | np.concatenate([[True], c_ids[by][1:] != c_ids[by][:-1]])
+    order = np.cumsum(fresh)
+    starts = np.flatnonzero(new)
+    place = order - np.repeat(order[starts], np.diff(np.append(starts, len(by))))
+    few = np.sort(by[fresh & (place <= k)])
+    rows, c_ids, c = rows[few], c_ids[few], c[few]
     near = unit(q) @ unit(c).T
     near[q_ids[:, None] == c_ids[None, :]] = -np.inf
-    out = [], [], []
+    starts = np.flatnonzero(np.concatenate([[True], c_ids[1:] != c_ids[:-1]]))
+    of_id = np.maximum.reduceat(near, starts, axis=1)
+    out = [], [], [], []
     for i, row in enumerate(near):
-        n = min(k, len(row))
-        limit = np.partition(row, len(row) - n)[len(row) - n]
+        n = min(k, len(starts))
+        limit = np.partition(of_id[i], len(starts) - n)[len(starts) - n]
         cols = np.flatnonzero((row >= limit - 1e-9) & (row > -np.inf))
         score = exact(q[i], c[cols])
-        best = np.lexsort((c_ids[cols], -score))[:k]
+        best = np.lexsort((-score, c_ids[cols]))
+        ids = c_ids[cols][best]
+        best = best[np.concatenate([[True], ids[1:] != ids[:-1]])] if len(ids) else best
+        best = best[np.lexsort((c_ids[cols[best]], -score[best]))][:k]
         out[0].append(np.full(len(best), q_ids[i]))
         out[1].append(c_ids[cols[best]])
         out[2].append(score[best])
-    return tuple(np.concatenate(x) if x else np.zeros(0) for x in out)
+        out[3].append(rows[cols[best]])
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
 
 
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -175,14 +186,14 @@ def calibrate(placed: DataFrame, tree: Tree, k: int, recall: float, queries: int
             ids = batch.column("vec_id").to_numpy()
             if not len(ids):
                 continue
-            a, b, s = nearest(q_ids, q, ids, matrix(batch.column("v")), k)
-            leaf = batch.column("leaf").to_numpy()
-            order = np.argsort(ids, kind="stable")
-            yield _batch(a, b, s, schema, leaf[order[np.searchsorted(ids[order], b)]])
+            a, b, s, row = nearest(q_ids, q, ids, matrix(batch.column("v")), k)
+            yield _batch(a, b, s, schema, batch.column("leaf").to_numpy()[row])
 
     true = placed.select("vec_id", "v", "leaf").mapInArrow(
         run, "query_id long, vec_id long, score double, leaf int"
     )
+    best = F.max(F.struct("score", "leaf")).alias("best")
+    true = true.groupBy("query_id", "vec_id").agg(best).select("query_id", "vec_id", "best.*")
     leaves: dict[int, list[int]] = {}
     for r in ranked(true, k).select("query_id", "leaf").collect():
         leaves.setdefault(r.query_id, []).append(r.leaf)
@@ -212,7 +223,8 @@ def search(
     lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     if lengths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("v") == lengths.d)
+    # An id with one vector twice is one row; what tasks read repeatedly is combined first.
+    rows = rows.where(F.size("v") == lengths.d).distinct()
     tree = build(rows, sample)
 
     def place(batches):
@@ -224,6 +236,9 @@ def search(
 
     placed = keep(rows.mapInArrow(place, "vec_id long, v array<double>, leaf int"))
     held = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Each id in one of the leaves it is in, so that leaves hold as many ids as they say.
+    ids = placed.groupBy("vec_id").agg(F.min("leaf").alias("leaf"))
+    n_ids = {r.leaf: r.n for r in ids.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
     visits = calibrate(placed, tree, k, recall)
 
     def walk(batches):
@@ -234,7 +249,7 @@ def search(
                 for n, leaf in enumerate(tree.visits(v)):
                     if n >= visits and seen > k:
                         break
-                    seen += held.get(leaf, 0)
+                    seen += n_ids.get(leaf, 0)
                     leaves.append(leaf)
                     picked.append(i)
             yield pa.RecordBatch.from_arrays(
@@ -276,7 +291,7 @@ def search(
             matrix(candidates.column("v")),
             k,
         )
-        return pa.Table.from_batches([_batch(*found)])
+        return pa.Table.from_batches([_batch(*found[:3])])
 
     keys = ["leaf", "qb", "cb"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(

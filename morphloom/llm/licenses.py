@@ -6,9 +6,8 @@ cosine of sparse TF-IDF vectors over the words of the templates; a word's weight
 from the number of files that have it, counted over all files. The best template above a
 threshold is the file's own licence. An SPDX identifier is taken as it stands, before any
 template; a notice that reserves all rights counts if a file states nothing else. A file
-without an own licence inherits from the
-nearest directory above it that has a licence file: the directories, not the files, are
-joined with all directories above them by path.
+without an own licence inherits from the nearest directory above it that has a licence
+file: the directories, not the files, are joined with all directories above them by path.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from morphloom.llm.common import keep
 
 THRESHOLD = 0.75
 KNOWN = 4096  # passages whose score a task remembers
+LONGEST = 4000  # characters of such a passage
 
 # Usual statements of public licences.
 TEMPLATES = [
@@ -96,11 +96,10 @@ LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying)[^/]*$"
 _CUE = re.compile(CUE)
 _SPDX = re.compile(r"(?i)SPDX-License-Identifier:[ \t]*([\w.+:-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[\w.+:-]+)*|\([^)\n]*\)[^\n*]*)")
 _LATER = re.compile(r"(?i)(-only|-or-later|\+)$")
-_MARKS = re.compile(r"(?m)^(?:[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--|\"{3}|'{3}|\.\.[ ]|dnl\b|rem\b))*[ \t]*|[ \t]*(?:\*+/|-->|\*+)?[ \t\r]*$")
+_OPENING = re.compile(r"(?:[ \t]*+(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--|\"{3}|'{3}|\.\.[ ]|dnl\b|rem\b))*+[ \t]*+")
 _ENDS = re.compile(r"\n\s*\n\s*|(?<=[.!?])\s+(?=[A-Z\"(])|(?<=:)\s*\n\s*|\n\s*(?:\d{1,2}[.)]|\(?[a-z]\))\s+")
-_NOTICE = re.compile(r"(?is)^.*?(?:copyright|\(c\)|©)[^.]*?(?=\ball\W+rights\W+reserved)")
+_NOTICE = re.compile(r"(?i)(\.)|(copyright|\(c\)|©)|\ball(?=\W+rights\W+reserved)")
 LINES = 12  # of a sentence, from which it is also read without what is before
-SENTENCES = 12  # after a statement, read for the clauses of licences that begin alike
 
 _TERM = re.compile(r"[^\W_]+(?:\.\d+)*")
 
@@ -126,12 +125,39 @@ def identifier(text: str) -> str | None:
     return " ".join(parts).replace("( ", "(").replace(" )", ")")
 
 
-def passages(text: str) -> tuple[list[str], list[str], list[str]]:
+def bare(text: str) -> str:
+    """A text without comment marks and blanks at the ends of its lines."""
+    out = []
+    for line in text.split("\n"):
+        line = line[_OPENING.match(line).end() :].rstrip(" \t\r")
+        if line.endswith("*/"):
+            line = line[:-1].rstrip("*")
+        elif line.endswith("-->"):
+            line = line[:-3]
+        else:
+            line = line.rstrip("*")
+        out.append(line.rstrip(" \t"))
+    return "\n".join(out)
+
+
+def without_notice(sentence: str) -> str:
+    """A sentence from where it reserves all rights on, if a copyright notice goes before
+    without a full stop between them; else as it is. One pass."""
+    noticed = False
+    for m in _NOTICE.finditer(sentence):
+        if m.lastindex is None and noticed:
+            return sentence[m.start() :]
+        if m.lastindex is not None:
+            noticed = m.lastindex == 2
+    return sentence
+
+
+def passages(text: str, most_lines: int = LINES) -> tuple[list[str], list[str], list[str]]:
     """Of a text without comment marks: what may state a licence; the sentences that
     follow; and those that may reserve all rights, without the copyright notice."""
     sentences = [x for x in _ENDS.split(text) if x.strip()]
     short = {line: None for line in text.split("\n") if _CUE.search(line)}
-    after: dict[str, None] = {}
+    after: list[str] = []
     reserved = []
     for i, sentence in enumerate(sentences):
         if not _CUE.search(sentence):
@@ -140,12 +166,12 @@ def passages(text: str) -> tuple[list[str], list[str], list[str]]:
             for last in range(i, min(i + 3, len(sentences))):
                 short[" ".join(sentences[first : last + 1])] = None
         lines = sentence.split("\n")
-        for k in range(1, min(len(lines), LINES)):
+        for k in range(1, min(len(lines), most_lines)):
             short["\n".join(lines[k:])] = None
-        after |= dict.fromkeys(sentences[i + 1 : i + 1 + SENTENCES])
-        reserved.append(_NOTICE.sub("", sentence))
+        after = after or sentences[i + 1 :]
+        reserved.append(without_notice(sentence))
         reserved += [line for line in lines if _CUE.search(line)]
-    return list(short), list(after), reserved
+    return list(short), after, reserved
 
 
 def document_frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
@@ -167,7 +193,8 @@ def document_frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
 
 
 class Matcher:
-    def __init__(self, n_files: int, frequency: dict[str, int]):
+    def __init__(self, n_files: int, frequency: dict[str, int], lines: int = LINES):
+        self.lines = lines
         self.place = {t: i for i, t in enumerate(VOCABULARY)}
         self.idf = np.array([np.log((1 + n_files) / (1 + frequency[t])) + 1 for t in VOCABULARY])
         self.other = float(np.log(1 + n_files) + 1)  # of a word that no template has
@@ -198,9 +225,12 @@ class Matcher:
             (names, rows), (v, squared) = self.groups[group], self.vector(terms(passage))
             near = rows @ v / np.sqrt(squared) if squared and v.any() else np.zeros(1)
             best = int((near >= near.max() - 1e-12).argmax())
+            found = (names[best], float(near.max())) if near.max() > 0 else (None, 0.0)
+            if len(passage) > LONGEST:
+                return found
             if len(self.known) >= KNOWN:
                 self.known.clear()
-            self.known[key] = (names[best], float(near.max())) if near.max() > 0 else (None, 0.0)
+            self.known[key] = found
         return self.known[key]
 
     def best(self, passages: list[str], group: int = 0) -> tuple[str | None, float]:
@@ -217,8 +247,8 @@ class Matcher:
         declared = identifier(text)
         if declared:
             return declared, 1.0
-        text = _MARKS.sub("", text)
-        short, after, reserved = passages(text)
+        text = bare(text)
+        short, after, reserved = passages(text, self.lines)
         name, score = self.best(short + [text] * whole)
         if score >= threshold:
             if name in ALIKE:
@@ -234,7 +264,9 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
-def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def own_licenses(
+    files: DataFrame, threshold: float = THRESHOLD, lines: int = LINES
+) -> DataFrame:
     """(path, license, score) of files (path, text) that state a licence themselves."""
     matcher_args = document_frequencies(files)
     named = F.col("path").rlike(LICENSE_FILE)
@@ -242,7 +274,7 @@ def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     schema = pa.schema([("path", pa.string()), ("license", pa.string()), ("score", pa.float64())])
 
     def run(batches):
-        matcher = Matcher(*matcher_args)
+        matcher = Matcher(*matcher_args, lines)
         for batch in batches:
             found = [
                 (path, *matcher.licence(text or "", named, threshold))
@@ -272,18 +304,23 @@ def inherited(directories: DataFrame, stated: DataFrame) -> DataFrame:
     return best.select("dir", "best.license", "best.from_dir")
 
 
-def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def scan(files: DataFrame, threshold: float = THRESHOLD, lines: int = LINES) -> DataFrame:
     """Per row of ``files`` (path, text): path, license, score, origin, from_dir.
 
     ``origin`` is ``own``, ``inherited`` or NULL with a NULL licence; ``score`` is the
-    cosine of an own licence (1 for an SPDX identifier); ``from_dir`` the directory that an inherited one is from.
+    cosine of an own licence (1 for an SPDX identifier); ``from_dir`` the directory that an
+    inherited one is from. A statement that is wrapped is read whole and from each of its
+    first ``lines`` lines on, as what stands before it may belong to another sentence; the
+    clauses that tell licences apart are looked for in all that follows the first statement.
+
     Several licence files in a directory: the best score counts, then the first name, and
-    reserved rights only if none states a licence. A NULL text states nothing and inherits; a NULL path neither. Rows that repeat a path
-    are one file's parts: the best statement of all of them counts for each. An empty
-    table gives an empty result; other columns are ignored.
+    reserved rights only if none states a licence. A NULL text states nothing and inherits;
+    a NULL path neither. Rows that repeat a path are one file's parts: the best statement
+    of all of them counts for each. An empty table gives an empty result; other columns are
+    ignored.
     """
     files = files.select(F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
-    own = own_licenses(files.where("path is not null"), threshold)
+    own = own_licenses(files.where("path is not null"), threshold, lines)
     best = F.struct((F.col("license") == RESERVED).alias("r"), (-F.col("score")).alias("s"), "license")
     own = keep(
         own.groupBy("path")

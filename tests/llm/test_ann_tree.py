@@ -68,3 +68,33 @@ def test_visits_are_best_first_and_complete():
     tree = ann_tree.Tree(x, branch=4, leaf=20)
     assert sorted(tree.visits(x[0])) == list(range(tree.n_leaves))
     assert next(tree.visits(x[3])) in set(tree.place(x))
+
+
+@pytest.mark.parametrize("copies", [50, 300])
+@pytest.mark.parametrize("own", [False, True])
+def test_one_id_repeated(spark, copies, own):
+    """Copies of one id, alike or with vectors of their own, take one place only."""
+    rng = np.random.default_rng(2)
+
+    def near():
+        return [1.0 + 0.01 * float(x) for x in rng.normal(size=8).astype(np.float32)]
+
+    v = near()
+    rows = [(0, near())] + [(1, near() if own else v) for _ in range(copies)] + [(i, near()) for i in range(2, 6)]
+    rows = [(i, np.array(x, np.float32).tolist()) for i, x in [*rows, (50, [-1.0] * 8)]]
+    got = ann_tree.search(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = brute(rows)
+    for q in (0, 50):
+        assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [i for i, _ in want[q]]
+
+
+def test_many_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 120)), rng.normal(size=8).tolist()) for _ in range(900)]
+    rows += [rows[5]] * 200
+    found = {}
+    for r in ann_tree.search(spark.createDataFrame(rows, SCHEMA), sample=200).collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert sorted(found) == [i for i in (0, 50, 100) if any(r[0] == i for r in rows)]
+    for q, ids in found.items():
+        assert len(ids) == len(set(ids)) == 5 and q not in ids

@@ -1,4 +1,9 @@
+import random
+import re
+import time
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from morphloom.llm import licenses as li
@@ -156,3 +161,54 @@ def test_cosine_against_plain_arithmetic(spark):
     want = max((cosine(weights(passage), weights(t)), name) for name, t in li.TEMPLATES)
     name, score = li.Matcher(n, frequency).best([passage])
     assert name == want[1] and abs(score - want[0]) < 1e-9
+
+
+def by_patterns(text):
+    """Comment marks and notices taken off by one pattern each, of unbounded cost."""
+    marks = re.compile(
+        r"(?m)^(?:[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--|\"{3}|'{3}|\.\.[ ]|dnl\b|rem\b))*[ \t]*"
+        r"|[ \t]*(?:\*+/|-->|\*+)?[ \t\r]*$"
+    )
+    notice = re.compile(r"(?is)^.*?(?:copyright|\(c\)|©)[^.]*?(?=\ball\W+rights\W+reserved)")
+    return marks.sub("", text), notice.sub("", text)
+
+
+def test_marks_and_notices_as_by_patterns():
+    rng = random.Random(1)
+    marks = ["/*", "*/", "**", "//", "#", "--", ";", "%", "<!--", "-->", " ", "  ", "\t", "\r", "\n", "a", "dnl", "rem", ".. ", "word", "'" * 3]
+    words = ["Copyright", "(c)", "©", " ", ". ", "all rights reserved", "All  Rights\nReserved", "x", "all", "tall rights reserved"]
+    for _ in range(3000):
+        text = "".join(rng.choice(marks) for _ in range(rng.randint(0, 14)))
+        assert li.bare(text) == by_patterns(text)[0], repr(text)
+        text = "".join(rng.choice(words) for _ in range(rng.randint(0, 10)))
+        assert li.without_notice(text) == by_patterns(text)[1], repr(text)
+
+
+def matcher():
+    return li.Matcher(100, dict.fromkeys(li.VOCABULARY, 5))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "license" + " " * 100_000 + "x",
+        "license " + "(c) " * 100_000,
+        "all rights reserved " * 50_000,
+        "license " + "x" * 5_000_000,
+        "license\n" * 20_000,
+        "license." + "\n" * 100_000 + "y",
+    ],
+    ids=["blanks", "notices", "reserved", "line", "lines", "breaks"],
+)
+def test_odd_texts_in_linear_time(text):
+    own = matcher()
+    start = time.time()
+    own.licence(text, False, li.THRESHOLD)
+    assert time.time() - start < 3
+
+
+def test_clause_far_behind_its_statement():
+    """A clause that tells licences apart counts wherever it follows."""
+    text = li.TEMPLATES[4][1] + " Nothing here." + " One more sentence." * 40 + " "
+    assert matcher().licence(text + li.CLAUSES[1][1], False, li.THRESHOLD)[0] == "BSD-3-Clause"
+    assert matcher().licence(text + li.CLAUSES[0][1], False, li.THRESHOLD)[0] == "BSD-2-Clause"
