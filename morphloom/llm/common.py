@@ -70,6 +70,30 @@ def worker_cache(key: Hashable, make: Callable[[], object]):
     return value
 
 
+class Remembered(dict):
+    """What ``make`` gives for a key, made once while it is remembered.
+
+    Held are the last ``limit`` to twice as many keys: when the table is full it becomes the
+    old one, and what is asked for again is taken over from there. So frequent keys stay.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.old = max(1, limit), {}
+
+    def make(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """Texts as bytes, NULL as empty."""
     return [x or b"" for x in column.to_pylist()]

@@ -28,13 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from morphloom.llm.common import columns, keep, shared_folder, worker_cache
+from morphloom.llm.common import Remembered, columns, keep, shared_folder, worker_cache
 
 MAGIC = b"PFOR0001"
 BLOCK = 512
 PERCENTILE = 0.9
 SEGMENT = 1 << 24  # ids after which a file is closed, with the document that reaches it
-TABLE = 500_000  # words whose ids a worker keeps
+TABLE = 400_000  # words whose ids a worker keeps, and as many older ones
 END = 2
 BEGIN = 64  # characters of a text that tell where it goes among those of its id
 
@@ -50,17 +50,15 @@ _SHOWN = dict.fromkeys([*range(33, 127), *range(161, 173), *range(174, 256)])
 _ALPHABET = {b: b for b in _SHOWN} | {
     b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)
 }
-_BLANKS = dict.fromkeys(map(ord, "\n\t\r"), " ")
 _PLAIN = re.compile("[A-Za-zß-öø-ÿ]+")
 
 
-class Words(dict):
+class Words(Remembered):
     """Ids (as little-endian 32-bit integers) of words between blanks, each encoded once.
 
     The pre-tokenizer drops white space and no token crosses it, so the ids of a text are
     those of its words. A full stop or comma after a letter is a token of its own, and a
-    word of plain letters is one piece for the model, once it is in lower case. Emptied
-    when it holds ``limit`` words.
+    word of plain letters is one piece for the model, once it is in lower case.
     """
 
     def __init__(self, tokenizer_file: str, limit: int = TABLE):
@@ -69,9 +67,9 @@ class Words(dict):
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenize = self.tokenizer.model.tokenize
-        self.limit = limit
+        super().__init__(limit)
 
-    def __missing__(self, word: str) -> bytes:
+    def make(self, word: str) -> bytes:
         if word[-1:] in (".", ",") and word[-2:-1].isascii() and word[-2:-1].isalpha():
             ids = self[word[:-1]] + self[word[-1]]
         elif _PLAIN.fullmatch(word):
@@ -79,13 +77,12 @@ class Words(dict):
             ids = array("I", [t.id for t in self.tokenize(shown)]).tobytes()
         else:
             ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.translate(_BLANKS).split(" ")))
+        for blank in "\n\t\r":
+            text = text.replace(blank, " ")
+        return b"".join(map(self.__getitem__, text.split(" ")))
 
 
 def _packed(values: np.ndarray, width: int) -> np.ndarray:
