@@ -34,7 +34,7 @@ MAGIC = b"PFOR0001"
 BLOCK = 512
 PERCENTILE = 0.9
 SEGMENT = 1 << 24  # ids after which a file is closed, with the document that reaches it
-TABLE = 400_000  # words whose ids a worker keeps, and as many older ones
+TABLE = 600_000  # words whose ids a worker keeps, and as many older ones
 END = 2
 BEGIN = 64  # characters of a text that tell where it goes among those of its id
 
@@ -50,6 +50,8 @@ _SHOWN = dict.fromkeys([*range(33, 127), *range(161, 173), *range(174, 256)])
 _ALPHABET = {b: b for b in _SHOWN} | {
     b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)
 }
+_PARTS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
+_CLOSING = tuple(".,;:!?")
 _PLAIN = re.compile("[A-Za-zß-öø-ÿ]+")
 
 
@@ -57,8 +59,9 @@ class Words(Remembered):
     """Ids (as little-endian 32-bit integers) of words between blanks, each encoded once.
 
     The pre-tokenizer drops white space and no token crosses it, so the ids of a text are
-    those of its words. A full stop or comma after a letter is a token of its own, and a
-    word of plain letters is one piece for the model, once it is in lower case.
+    those of its words. Runs of letters, single digits and runs of other signs are pieces of
+    their own, as are signs after a letter, and a word of plain letters is one piece for the
+    model, once it is in lower case.
     """
 
     def __init__(self, tokenizer_file: str, limit: int = TABLE):
@@ -70,14 +73,19 @@ class Words(Remembered):
         super().__init__(limit)
 
     def make(self, word: str) -> bytes:
-        if word[-1:] in (".", ",") and word[-2:-1].isascii() and word[-2:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1]]
+        if word.isascii() and word.isprintable() and "'" not in word and "<" not in word:
+            lower = word.lower()
+            if lower.isalpha():
+                return array("I", [t.id for t in self.tokenize(lower)]).tobytes()
+            parts = _PARTS.findall(lower)
+            if len(parts) > 1:
+                return b"".join([self[part] for part in parts])
+        elif word[-1:] in _CLOSING and _PLAIN.fullmatch(word, 0, len(word) - 1):
+            return self[word[:-1]] + self[word[-1]]
         elif _PLAIN.fullmatch(word):
             shown = word.lower().encode().decode("latin-1").translate(_ALPHABET)
-            ids = array("I", [t.id for t in self.tokenize(shown)]).tobytes()
-        else:
-            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        return ids
+            return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         for blank in "\n\t\r":
