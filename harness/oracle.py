@@ -213,6 +213,14 @@ ORACLES = {
                   WHEN (length(body) + 2) % 7 = 0 THEN 'TypeError: answer of type int'
              END AS error
       FROM wired""",
+    "annotate_deadline": _DOCS
+    + """
+      SELECT doc_id,
+             CAST(CASE WHEN (length(body) + 2) % 397 <> 0 AND body <> '' THEN length(body)
+                  END AS INTEGER) AS n_chars,
+             CASE WHEN (length(body) + 2) % 397 = 0 THEN 'TimeoutError: no answer within 10 s'
+             END AS error
+      FROM wired""",
     "explode_md": _DOCS
     + """
       SELECT doc_id, sentence_id, CAST(token_id - 1 AS VARCHAR) AS "from",

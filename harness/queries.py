@@ -152,6 +152,29 @@ def annotate_keep_errors(spark, sf):
     return out.select("doc_id", F.length("segmented_text").alias("n_chars"), "error")
 
 
+def annotate_deadline(spark, sf):
+    """An annotator that is slow now and then and hangs on wire text whose length is a
+    multiple of 397: eight calls at once, ten seconds each."""
+
+    def factory():
+        import time
+
+        annotator = make_annotator()
+
+        def slow(wire):
+            if len(wire) % 397 == 0:
+                time.sleep(3600)
+            if len(wire) % 23 == 0:
+                time.sleep(0.01)
+            return annotator(wire)
+
+        return slow
+
+    src = m.annotate(docs(spark, sf), factory, on_error="keep", in_flight=8, deadline=10.0)
+    out = m.decode_responses(src, "keep", ("segmented_text",))
+    return out.select("doc_id", F.length("segmented_text").alias("n_chars"), "error")
+
+
 # --- morpheme table ------------------------------------------------------------
 
 
@@ -410,6 +433,7 @@ QUERIES = {
         wire_text,
         annotate_python,
         annotate_keep_errors,
+        annotate_deadline,
         explode_md,
         explode_dep,
         coerce_int,

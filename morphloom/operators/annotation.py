@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from morphloom.functions import to_wire
+from morphloom.operators.calls import Calls, DirectCalls
 from morphloom.schemas import RESPONSE_FIELDS, key_columns, require_columns
 
 Annotator = Callable[[str], "str | None"]
@@ -37,6 +38,8 @@ def annotate(
     pre_tokenized: bool = False,
     on_error: str = "fail",
     partitions: int | None = None,
+    in_flight: int = 1,
+    deadline: float | None = None,
 ) -> DataFrame:
     """Call an annotator on every document: ``doc_id, response``.
 
@@ -49,10 +52,18 @@ def annotate(
     gives that document a NULL response and its message in ``error``.
     ``partitions`` deals the documents out first, for inputs with too few splits.
 
+    An annotator that waits for a service can have up to ``in_flight`` calls at once in
+    each task; the answers keep the order of the documents. ``deadline`` is the time in
+    seconds that a call may take; one without an answer by then is a failing document.
+    With either of them the calls come from threads, and the factory is called once per
+    thread, again for a thread that replaces one whose call hangs.
+
     The result is lazy: each action on it calls the annotator again. Write it, or
     use :func:`morphloom.materialize`, before reading it more than once.
     """
     keep = _policy(on_error)
+    if in_flight < 1 or (deadline is not None and deadline <= 0):
+        raise ValueError("in_flight must be 1 or more and deadline above 0")
     wired = wire_text(docs, pre_tokenized)
     if partitions:
         wired = wired.repartition(partitions)
@@ -62,11 +73,11 @@ def annotate(
         fields.append(T.StructField("error", T.StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        annotator = None
+        if in_flight == 1 and deadline is None:
+            calls = DirectCalls(annotator_factory)
+        else:
+            calls = Calls(annotator_factory, in_flight, deadline)
         for batch in batches:
-            if annotator is None:
-                annotator = annotator_factory()
-            wires = batch.column(len(keys))
             start, held, out, errors = 0, 0, [], []
 
             def flush(end: int) -> pa.RecordBatch:
@@ -76,19 +87,20 @@ def annotate(
                     cols.append(pa.array(errors, pa.string()))
                 return pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
 
-            for i in range(batch.num_rows):
-                wire, response, error = wires[i].as_py(), None, None
-                if wire is not None:
-                    try:
-                        response = annotator(wire)
-                        if response is not None and not isinstance(response, str):
-                            raise TypeError(f"answer of type {type(response).__name__}")
-                        (response or "").encode()  # an unpaired surrogate is no text
-                    except Exception as exc:
-                        if not keep:
-                            doc = batch.column(0)[i].as_py()
-                            raise RuntimeError(f"annotator failed on document {doc!r}") from exc
-                        response, error = None, f"{type(exc).__name__}: {exc}"
+            wires = (wire.as_py() for wire in batch.column(len(keys)))
+            for i, (response, failure) in enumerate(calls.answers(wires)):
+                error = None
+                try:
+                    if failure is not None:
+                        raise failure
+                    if response is not None and not isinstance(response, str):
+                        raise TypeError(f"answer of type {type(response).__name__}")
+                    (response or "").encode()  # an unpaired surrogate is no text
+                except Exception as exc:
+                    if not keep:
+                        doc = batch.column(0)[i].as_py()
+                        raise RuntimeError(f"annotator failed on document {doc!r}") from exc
+                    response, error = None, f"{type(exc).__name__}: {exc}"
                 out.append(response)
                 errors.append(error)
                 held += len(response or "")
@@ -97,6 +109,7 @@ def annotate(
                     start, held, out, errors = i + 1, 0, [], []
             if out:
                 yield flush(batch.num_rows)
+        calls.close()
 
     return wired.mapInArrow(run, T.StructType(fields))
 
@@ -127,29 +140,29 @@ def decode_responses(
     unknown = [f for f in fields if f not in RESPONSE_FIELDS]
     if unknown:
         raise ValueError(f"unknown response field(s) {unknown}")
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in (*fields, "_corrupt")])
+    schema = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
     keys = key_columns(df)
     had_error = "error" in df.columns
 
+    # As the only element of an array, so that text or a second value behind the object
+    # breaks the whole: one parse tells both what is in the body and that nothing else is.
+    whole = F.concat(F.lit("["), F.col("response"), F.lit("]"))
     parsed = df.select(
         *keys,
-        F.from_json("response", schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_json"),
-        F.octet_length("response").alias("_size"),
+        F.from_json(whole, schema).alias("_values"),
         F.col("response").alias("_body"),
-        F.json_array_length(F.concat(F.lit("["), F.col("response"), F.lit("]"))).alias("_values"),
         *([F.col("error")] if had_error else []),
-    )
-    corrupt = F.col("_json._corrupt")
-    # A body of blanks only gives no object and no trace of it either.
-    blank = F.col("_json").isNull() & (F.coalesce("_size", F.lit(0)) > 0)
-    empty = F.btrim(corrupt, F.lit(" \t\r\n")).isin("[]", "null")
-    # The parser stops behind the first object: text or a second object after it shows
-    # when the whole body has to be the only element of an array.
-    more = F.col("_json").isNotNull() & corrupt.isNull() & (F.coalesce("_values", F.lit(0)) != 1)
-    more = more & (F.octet_length(F.btrim("_body", F.lit(" \t\r\n"))) > 0)
+    ).select("*", F.get("_values", F.lit(0)).alias("_json"))
+    one = F.coalesce(F.size("_values") == 1, F.lit(False)) & F.col("_json").isNotNull()
+    # No object: an empty body, an empty array or null is an answer without content.
+    bare = F.btrim("_body", F.lit(" \t\r\n"))
+    empty = F.coalesce((F.octet_length("_body") == 0) | bare.isin("[]", "null"), F.lit(True))
+    # An array in the place of the object is read as one whose fields are all absent.
+    absent = ~F.coalesce(reduce(or_, [F.col("_json")[f].isNotNull() for f in fields]), F.lit(False))
+    no_object = absent & ~F.startswith(bare, F.lit("{"))
     no_text = reduce(or_, [_may_be_json(F.col("_json")[f]) for f in fields])
     no_text = no_text & F.rlike("_body", F.lit(rf'"(?:{"|".join(fields)})"\s*+:\s*+(?!"|null)'))
-    bad = (corrupt.isNotNull() & ~empty) | blank | more | F.coalesce(no_text, F.lit(False))
+    bad = ~empty & (~one | F.coalesce(no_object, F.lit(False)) | F.coalesce(no_text, F.lit(False)))
     message = F.concat(
         F.lit("malformed response of document "),
         F.coalesce("doc_id", F.lit("NULL")),

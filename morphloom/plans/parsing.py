@@ -19,10 +19,13 @@ def _decoded(
     fields: tuple[str, ...],
     partitions: int | None,
     keep: bool = False,
+    **calls,
 ) -> DataFrame:
     """Whatever the source is, its lattice columns."""
     if annotator_factory is not None:
-        responses = annotate(source, annotator_factory, pre_tokenized, on_error, partitions)
+        responses = annotate(
+            source, annotator_factory, pre_tokenized, on_error, partitions, **calls
+        )
         if keep:
             responses = materialize(responses)
         return decode_responses(responses, on_error, fields)
@@ -41,6 +44,7 @@ def parse(
     keep_lattice: bool = False,
     on_error: str = "fail",
     partitions: int | None = None,
+    **calls,
 ):
     """One row per morpheme.
 
@@ -48,7 +52,8 @@ def parse(
     table of stored responses (or of their decoded lattices) without one. The
     columns are ``doc_id, sentence_id, token_id, token, lemma, pos, xpos, feats``
     and, with ``dependency``, ``head_token_id, deprel``. Documents are dealt out to
-    ``partitions`` tasks, where given, before they are annotated.
+    ``partitions`` tasks, where given, before they are annotated; ``in_flight`` and
+    ``deadline`` are those of :func:`annotate`.
 
     With ``keep_lattice`` the result is a pair: the morpheme table and the
     ambiguous lattices ``doc_id, ma_lattice``. As both read the responses, these are
@@ -57,7 +62,7 @@ def parse(
     fields = ("md_lattice",) + (("dep_tree",) if dependency else ())
     both = fields + (("ma_lattice",) if keep_lattice else ())
     decoded = _decoded(
-        source, annotator_factory, pre_tokenized, on_error, both, partitions, keep=keep_lattice
+        source, annotator_factory, pre_tokenized, on_error, both, partitions, keep_lattice, **calls
     )
     table = morphemes(decoded, dependency)
     return (table, ambiguous_lattices(decoded)) if keep_lattice else table
@@ -69,6 +74,7 @@ def parse_dependencies(
     pre_tokenized: bool = False,
     on_error: str = "fail",
     partitions: int | None = None,
+    **calls,
 ) -> DataFrame:
     """:func:`parse` with dependency columns."""
     return parse(
@@ -78,4 +84,5 @@ def parse_dependencies(
         pre_tokenized=pre_tokenized,
         on_error=on_error,
         partitions=partitions,
+        **calls,
     )

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 
@@ -164,3 +165,71 @@ def test_one_malformed_answer_among_good_ones(spark):
     with pytest.raises(Exception, match="malformed response of document 1"):
         m.parse(mixed).collect()
     assert m.summary(m.parse(mixed, on_error="keep")).first() == (12, 2)
+
+
+def test_calls_in_flight_keep_the_order_of_documents(spark):
+    """Eight slow calls at once take an eighth of their time, and answers stay in order."""
+
+    def factory():
+        import time as clock
+
+        def annotator(wire):
+            clock.sleep(0.2 if wire.startswith("s") else 0.0)
+            return wire.strip()
+
+        return annotator
+
+    texts = [f"{'s' if i % 2 else 'f'}{i}" for i in range(64)] + [None]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "doc_id string, text string").coalesce(1)
+    start = time.time()
+    rows = m.annotate(df, factory, in_flight=16).collect()
+    assert time.time() - start < 5
+    assert [r.response for r in rows] == texts
+
+
+def test_a_hanging_call_is_an_error_after_its_deadline(spark):
+    def factory():
+        import time as clock
+
+        def annotator(wire):
+            if "hang" in wire:
+                clock.sleep(600)
+            if "bad" in wire:
+                raise ValueError("bad")
+            return wire.strip()
+
+        return annotator
+
+    df = spark.createDataFrame(
+        [(str(i), t) for i, t in enumerate(["a", "hang", "b", "bad", "hang", "c", None])], "doc_id string, text string"
+    ).coalesce(1)
+    for in_flight in (1, 3):
+        got = m.annotate(df, factory, on_error="keep", in_flight=in_flight, deadline=0.5).collect()
+        assert [r.response for r in got] == ["a", None, "b", None, None, "c", None]
+        late = "TimeoutError: no answer within 0.5 s"
+        assert [r.error for r in got] == [None, late, None, "ValueError: bad", late, None, None]
+    with pytest.raises(Exception, match="failed on document '1'"):
+        m.annotate(df, factory, deadline=0.5).collect()
+    with pytest.raises(ValueError, match="in_flight"):
+        m.annotate(df, factory, in_flight=0)
+
+
+def test_an_annotator_that_always_hangs_stops_the_task(spark):
+    def factory():
+        import time as clock
+
+        return lambda wire: clock.sleep(600)
+
+    df = spark.range(60).selectExpr("string(id) doc_id", "'x' text").coalesce(1)
+    with pytest.raises(Exception, match="calls of the annotator hang"):
+        m.annotate(df, factory, on_error="keep", in_flight=8, deadline=0.05).collect()
+
+
+def test_a_factory_that_fails_stops_the_job(spark):
+    def factory():
+        raise OSError("no model")
+
+    df = spark.createDataFrame([("a", "x")], "doc_id string, text string")
+    for options in ({}, {"in_flight": 4}, {"deadline": 5.0}):
+        with pytest.raises(Exception, match="no model"):
+            m.annotate(df, factory, on_error="keep", **options).collect()
