@@ -32,7 +32,7 @@ LONG = 2048  # words of a chain from which on it is worked off in segments
 REJECT = 0.5
 
 _PIECES = 20_000
-_CHARS = 750_000  # of the texts that are tagged at once; a longer one is alone
+_CHARS = 1_500_000  # of the texts that are tagged at once; a longer one is alone
 _MULTIPLIERS = [
     [np.uint64(0x9E3779B97F4A7C15 * (16 * n + k + 1) % 2**64 | 1) for k in range(n)] for n in range(5)
 ]
