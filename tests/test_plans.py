@@ -88,9 +88,12 @@ def test_numbering_shuffles_the_rows_once(spark, stored):
     rows = m.explode_md(m.decode_responses(stored))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(m.with_token_id(rows, "position"))
+        dense = plan(m.with_token_id(rows, "position"))
+        text = plan(m.with_token_id(rows, "position", order_range=(0, 200_000)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Values that fit in one block: the rows only.
+    assert dense.count("Exchange hashpartitioning") == 1 and "Join" not in dense
     # The rows; the sizes of the blocks by block, by sentence and by block again.
     assert text.count("Exchange hashpartitioning") == 4
     assert "SortMergeJoin" in text
