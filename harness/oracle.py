@@ -264,7 +264,9 @@ ORACLES = {
     "parse_dependencies": _DOCS + _DEP_SELECT,
     "parse_repeated_ids": _with(_TURNS_SRC) + f" SELECT doc_order, {_MORPH} FROM morphs",
     "attach_dependencies": _DOCS + _DEP_SELECT,
+    "attach_dependencies_stored": _DOCS + _DEP_SELECT,
     "alignment_report": _report(),
+    "alignment_report_stored": _report(),
     "response_alignment": _report(),
     "drop_empty_documents": r"""
       SELECT CAST(doc_id AS VARCHAR) AS doc_id, len(regexp_extract_all(text, '[0-9]+')) AS n_rows
@@ -333,6 +335,10 @@ ORACLES = {
       SELECT feature, CAST(sum(n) AS BIGINT) AS n FROM counted
       WHERE feature NOT IN (SELECT word FROM stops) GROUP BY feature
       ORDER BY 2 DESC, 1 LIMIT 25""",
+    "topfeatures_bounded": f"""{_DOCS}, {_CLEAN}, {_STOPS}
+      SELECT feature, CAST(sum(n) AS BIGINT) AS n FROM counted
+      WHERE feature NOT IN (SELECT word FROM stops) GROUP BY feature
+      ORDER BY 2 DESC, 1 LIMIT 25""",
     "feature_index": f"{_DOCS}, {_CLEAN}, {_INDEXED} SELECT * FROM indexed",
     "dfm_vectors": f"""{_DOCS}, {_CLEAN}, {_INDEXED},
       vectors AS (
@@ -345,4 +351,15 @@ ORACLES = {
              coalesce(indices, '') AS indices, coalesce(values_, '') AS "values"
       FROM (SELECT DISTINCT doc_id FROM clean WHERE token <> '') d
            LEFT JOIN vectors USING (doc_id)""",
+    "dfm_vectors_whole": f"""{_DOCS}, {_CLEAN}, {_INDEXED},
+      vectors AS (
+        SELECT doc_id, 0 AS block,
+               string_agg(CAST(feature_index AS VARCHAR), ' ' ORDER BY feature_index) AS indices,
+               string_agg(CAST(n AS VARCHAR), ' ' ORDER BY feature_index) AS values_
+        FROM counted JOIN indexed USING (feature) GROUP BY ALL
+      )
+      SELECT d.doc_id, CAST(coalesce(block, 0) AS INTEGER) AS block,
+             coalesce(indices, '') AS indices, coalesce(values_, '') AS "values"
+      FROM (SELECT DISTINCT doc_id FROM clean WHERE token <> '') d
+           LEFT JOIN vectors USING (doc_id)""",
 }

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import morphloom as m
 from harness import stub
 from harness.stub import make_annotator, stub_annotated
+from morphloom.operators.checkpoints import checkpoint_folder
+from morphloom.operators.features import FEATURE_BUCKETS
 
 # Workers need not have this folder on their path: the annotator travels with the job.
 cloudpickle.register_pickle_by_value(stub)
@@ -233,6 +237,26 @@ def alignment_report(spark, sf):
     return m.alignment_report(m.explode_md(both), m.explode_dep(both))
 
 
+def stored_apart(spark, sf):
+    """Lattices and trees as two bucketed tables, as two jobs would have left them."""
+    both = m.materialize(decoded(spark, sf, "md_lattice", "dep_tree"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = []
+    for kind, rows in (("lattices", m.explode_md(both)), ("trees", m.explode_dep(both))):
+        name = f"{kind}_{uuid.uuid4().hex}"
+        path = f"{checkpoint_folder(spark)}/{name}"
+        tables.append(m.store_by_sentence(rows, name, buckets, path))
+    return tables
+
+
+def attach_dependencies_stored(spark, sf):
+    return m.morpheme_table(m.attach_dependencies(*stored_apart(spark, sf), co_located=True))
+
+
+def alignment_report_stored(spark, sf):
+    return m.alignment_report(*stored_apart(spark, sf))
+
+
 def response_alignment(spark, sf):
     return m.response_alignment(decoded(spark, sf, "md_lattice", "dep_tree"))
 
@@ -403,6 +427,14 @@ def topfeatures_direct(spark, sf):
     )
 
 
+def topfeatures_bounded(spark, sf):
+    """Only features of hash buckets that may hold one of the first 25 are counted."""
+    tokens = m.materialize(
+        m.content_tokens(parsed(spark, sf), stopwords=stoplist(spark, sf)).select("token")
+    )
+    return m.topfeatures(tokens, 25, buckets=FEATURE_BUCKETS)
+
+
 def feature_index(spark, sf):
     return m.feature_index(m.text_to_dfm(stored(spark, sf)))
 
@@ -413,6 +445,16 @@ def dfm_vectors(spark, sf):
         docs=m.dfm_documents(parsed(spark, sf)),
         features_per_block=10_000,
     )
+    return joined(vectors)
+
+
+def dfm_vectors_whole(spark, sf):
+    """One row per document."""
+    counts = m.text_to_dfm(stored(spark, sf))
+    return joined(m.dfm_vectors(counts, docs=m.dfm_documents(parsed(spark, sf))))
+
+
+def joined(vectors: DataFrame) -> DataFrame:
     return vectors.select(
         "doc_id",
         "block",
@@ -443,7 +485,9 @@ QUERIES = {
         parse_dependencies,
         parse_repeated_ids,
         attach_dependencies,
+        attach_dependencies_stored,
         alignment_report,
+        alignment_report_stored,
         response_alignment,
         drop_empty_documents,
         union_batches,
@@ -475,7 +519,9 @@ QUERIES = {
         featnames_direct,
         topfeatures,
         topfeatures_direct,
+        topfeatures_bounded,
         feature_index,
         dfm_vectors,
+        dfm_vectors_whole,
     )
 }

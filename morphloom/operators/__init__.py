@@ -27,6 +27,7 @@ from morphloom.operators.lattices import (
     response_alignment,
     with_token_id,
 )
+from morphloom.operators.layout import store_by_sentence
 from morphloom.operators.tokens import (
     as_tokens,
     doc_count,
@@ -73,6 +74,7 @@ __all__ = [
     "remove_punct",
     "remove_stopwords",
     "response_alignment",
+    "store_by_sentence",
     "strip_trailing_punct",
     "summary",
     "to_tokens",

@@ -4,18 +4,12 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage, on storage that outlives executors.
-
-    Checkpoints go to the folder in ``spark.checkpoint.dir``, which on a cluster is
-    shared. Only a local session without that setting gets a temporary folder. With
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` set to ``true`` Spark removes
-    the files once no DataFrame refers to them any more.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints, that of ``spark.checkpoint.dir``, which on a cluster is
+    shared. Only a local session without that setting gets a temporary folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -26,4 +20,15 @@ def materialize(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage, on storage that outlives executors.
+
+    Checkpoints go to :func:`checkpoint_folder`. With
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` set to ``true`` Spark removes
+    the files once no DataFrame refers to them any more.
+    """
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()

@@ -25,8 +25,8 @@ from morphloom.operators.tokens import (
 from morphloom.schemas import CONTENT_POS, key_columns, require_columns
 from morphloom.sources.wordlists import stopwords as stopword_list
 
-# Features whose counts share one row of a document's vector; see dfm_vectors.
-FEATURES_PER_BLOCK = 1_000_000
+# Hash buckets whose totals bound those of their features; see topfeatures.
+FEATURE_BUCKETS = 1 << 16
 
 
 def strip_trailing_punct(df: DataFrame, cols: Sequence[str] = ("lemma", "token")) -> DataFrame:
@@ -186,12 +186,52 @@ def featnames(counts: DataFrame) -> DataFrame:
     return counts.select(F.lower("token").alias("feature")).distinct()
 
 
-def topfeatures(counts: DataFrame, n: int = 10) -> DataFrame:
+def _candidates(rows: DataFrame, feature: Column, size: Column, n: int, buckets: int) -> DataFrame:
+    """``rows`` without those whose feature cannot be among the ``n`` largest.
+
+    A bucket's total is at least that of each of its features. The features of the
+    largest buckets are counted first; the n-th of them is a bound that the n-th of all
+    features reaches, so buckets below it go.
+    """
+    bucket = F.pmod(F.xxhash64(feature), F.lit(buckets))
+    sums = materialize(
+        rows.groupBy(bucket.alias("_bucket")).agg(F.coalesce(F.sum(size), F.lit(0)).alias("_n"))
+    )
+
+    def within(some: DataFrame) -> DataFrame:
+        # At most ``buckets`` rows of one number.
+        some = F.broadcast(some.select("_bucket"))
+        return rows.join(some, bucket == F.col("_bucket"), "left_semi")
+
+    largest = within(sums.orderBy(F.desc("_n"), "_bucket").limit(4 * n))
+    totals = largest.groupBy(feature.alias("_feature")).agg(F.sum(size).alias("_n"))
+    nth = totals.select("_n").orderBy(F.desc("_n")).limit(n).agg(F.min("_n"), F.count("_n")).first()
+    return within(sums.where(F.col("_n") >= nth[0])) if nth[1] == n else rows
+
+
+def topfeatures(counts: DataFrame, n: int = 10, buckets: int | None = None) -> DataFrame:
     """The ``n`` features with the highest totals, ties in order of the feature.
 
     Takes document-feature counts or, when those are not needed otherwise, one
     token per row: that saves the shuffle by document.
+
+    Counting every feature shuffles each task's vocabulary. With ``buckets`` (such as
+    :data:`FEATURE_BUCKETS`) totals are taken by hash bucket of the feature first, and
+    only features of buckets that reach the n-th total are counted by themselves. What is
+    shuffled is then bounded by ``buckets`` and the candidates of each task, whatever the
+    vocabulary, and the result is the same. If the totals are so even that no bucket can
+    be ruled out, every feature is a candidate. ``counts`` is read three times, so store
+    it first; two small jobs run when the plan is built.
     """
+    if buckets is not None and buckets < 1:
+        raise ValueError("buckets must be 1 or more")
+    if buckets is not None and n > 0:
+        if "feature" in counts.columns:
+            counts = counts.select("feature", "n")
+            counts = _candidates(counts, F.col("feature"), F.col("n"), n, buckets)
+        else:
+            counts = counts.select(F.lower("token").alias("token"))
+            counts = _candidates(counts, F.col("token"), F.lit(1), n, buckets)
     if "feature" in counts.columns:
         totals = counts.groupBy("feature").agg(F.sum("n").alias("n"))
     else:
@@ -241,14 +281,15 @@ def dfm_vectors(
     counts: DataFrame,
     index: DataFrame | None = None,
     docs: DataFrame | None = None,
-    features_per_block: int = FEATURES_PER_BLOCK,
+    features_per_block: int | None = None,
 ) -> DataFrame:
     """The matrix in sparse rows: ``doc_id, block, indices, values``.
 
     ``indices`` are sorted column numbers of :func:`feature_index` and ``values``
     their counts; a feature that a given ``index`` lacks stops the job. A document is one
-    row per block of ``features_per_block`` columns that it has features in, so no row
-    can outgrow its block, not even that of a document that uses every feature.
+    row, of ``block`` 0. With ``features_per_block`` it is one row per block of that many
+    columns that it has features in, so that no row can outgrow its block, not even that
+    of a document that uses more features than one array should hold.
 
     ``counts`` is read several times. Without an ``index`` it is checkpointed first
     and the index is made from it; a caller that has both stored passes both. Pass
@@ -263,13 +304,17 @@ def dfm_vectors(
     entries = entries.withColumn(
         "feature_index", F.coalesce("feature_index", unknown.cast("bigint"))
     )
-    block = F.floor(F.col("feature_index") / F.lit(features_per_block)).cast("int")
+    if features_per_block is None:
+        by, block = [], F.lit(0)
+    else:
+        block = F.expr(f"cast(feature_index div {int(features_per_block)} AS int)")
+        by, block = [block.alias("block")], F.col("block")
     rows = (
-        entries.groupBy("doc_id", block.alias("block"))
+        entries.groupBy("doc_id", *by)
         .agg(F.sort_array(F.collect_list(F.struct("feature_index", "n"))).alias("_e"))
         .select(
             "doc_id",
-            "block",
+            block.alias("block"),
             F.col("_e").getField("feature_index").alias("indices"),
             F.col("_e").getField("n").alias("values"),
         )

@@ -163,18 +163,24 @@ def morpheme_table(md: DataFrame) -> DataFrame:
     return md.select(*cols)
 
 
-def attach_dependencies(md: DataFrame, dep: DataFrame) -> DataFrame:
+def attach_dependencies(md: DataFrame, dep: DataFrame, co_located: bool = False) -> DataFrame:
     """Join two exploded tables by document, sentence and position.
 
     For lattices and trees that are stored apart; when both are in one response,
     :func:`morphemes` does the same without a shuffle. Documents that share a
     ``doc_id`` need ``doc_order`` on both sides: a tree row whose place is taken
     twice stops the job, since every copy would be joined with every other.
+
+    ``co_located`` says that both are tables of :func:`store_by_sentence` with as many
+    buckets each: then no row is shuffled, if ``spark.sql.requireAllClusterKeysForCoPartition``
+    is ``false``, as buckets are by sentence and the join is by place. The result is the
+    same whatever the tables are.
     """
     keys = [k for k in key_columns(md) if k in dep.columns] + ["sentence_id", "position"]
     # One row per place. Places hardly repeat, so nothing is combined before the shuffle,
     # and the grouping and the join share its partitioning and sort order.
-    arcs = dep.repartition(*keys).groupBy(*keys).agg(
+    placed = dep if co_located else dep.repartition(*keys)
+    arcs = placed.groupBy(*keys).agg(
         F.first("head").alias("_head"),
         F.first("deprel").alias("_deprel"),
         F.count(F.lit(1)).alias("_n"),
@@ -193,7 +199,8 @@ def alignment_report(md: DataFrame, dep: DataFrame) -> DataFrame:
     """Row counts per sentence of two exploded tables and how far they match.
 
     ``status`` is ``ok``, ``length_differs`` (the first ``n_aligned`` rows are put
-    together) or ``dep_missing`` (the sentence has no dependency rows at all).
+    together) or ``dep_missing`` (the sentence has no dependency rows at all). Tables of
+    :func:`store_by_sentence` with as many buckets each are not shuffled.
     """
     keys = [k for k in key_columns(md) if k in dep.columns] + ["sentence_id"]
     n_md = md.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_md"))

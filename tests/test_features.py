@@ -202,6 +202,48 @@ def test_feature_index_numbers_all_features(spark):
     assert by_number == sorted(by_number, key=lambda w: (hashlib.md5(w.encode()).hexdigest()[:3], w))
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 64, features.FEATURE_BUCKETS])
+def test_top_features_by_bucket(spark, buckets):
+    _, df = skewed(spark)
+    for n in (0, 1, 5, 40, 100_000):
+        want = [tuple(r) for r in m.topfeatures(df, n).collect()]
+        assert [tuple(r) for r in m.topfeatures(df, n, buckets=buckets).collect()] == want
+        counted = m.dfm(df)
+        assert [tuple(r) for r in m.topfeatures(counted, n, buckets=buckets).collect()] == want
+
+
+def test_top_features_by_bucket_of_even_and_odd_tables(spark):
+    even = spark.createDataFrame([(f"w{i:03}",) for i in range(300)] * 2, "token string")
+    # All totals are equal: no bucket can be ruled out, ties go by the feature.
+    got = m.topfeatures(even, 3, buckets=1024).collect()
+    assert [tuple(r) for r in got] == [("w000", 2), ("w001", 2), ("w002", 2)]
+    assert m.topfeatures(even.limit(0), 3, buckets=8).count() == 0
+    nulls = spark.createDataFrame([("a", 3), (None, 5), ("b", None)], "feature string, n long")
+    want = [tuple(r) for r in m.topfeatures(nulls, 3).collect()]
+    assert [tuple(r) for r in m.topfeatures(nulls, 3, buckets=8).collect()] == want
+    with pytest.raises(ValueError):
+        m.topfeatures(even, 3, buckets=0)
+
+
+def test_few_features_are_counted_by_themselves(spark):
+    """Of a large vocabulary with frequent words only those reach the second count."""
+    words = spark.range(200_000).select(
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("top"), F.col("id") % 10))
+        .otherwise(F.concat(F.lit("rare"), F.col("id")))
+        .alias("token")
+    )
+    left = features._candidates(words, F.col("token"), F.lit(1), 5, 1 << 14)
+    assert left.select("token").distinct().count() < 200
+    assert m.topfeatures(words, 5, buckets=1 << 14).collect() == m.topfeatures(words, 5).collect()
+
+
+def test_vectors_are_one_row_unless_a_width_is_given(spark):
+    rows, df = skewed(spark)
+    got = m.dfm_vectors(m.dfm(df)).collect()
+    assert len(got) == len({r.doc_id for r in got}) and {r.block for r in got} == {0}
+    assert sum(len(r.indices) for r in got) == m.dfm(df).count()
+
+
 @pytest.mark.parametrize("per_block", [7, 1000])
 def test_vectors(spark, per_block):
     rows, df = skewed(spark)

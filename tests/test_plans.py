@@ -110,3 +110,34 @@ def test_checkpoints_go_to_the_configured_folder(spark):
     df = m.materialize(spark.range(5))
     assert df.count() == 5
     assert "Scan ExistingRDD" in plan(df)
+
+
+def test_tables_by_sentence_are_joined_where_they_lie(spark, stored, tmp_path):
+    both = m.decode_responses(stored, fields=("md_lattice", "dep_tree"))
+    tables = [
+        m.store_by_sentence(rows, f"by_sentence_{kind}", 4, str(tmp_path / kind))
+        for kind, rows in (("md", m.explode_md(both)), ("dep", m.explode_dep(both)))
+    ]
+    want = {
+        "attach": m.attach_dependencies(m.explode_md(both), m.explode_dep(both)),
+        "report": m.alignment_report(m.explode_md(both), m.explode_dep(both)),
+    }
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        attached = m.attach_dependencies(*tables, co_located=True)
+        report = m.alignment_report(*tables)
+        for df, name in ((attached, "attach"), (report, "report")):
+            text = plan(df)
+            assert "SortMergeJoin" in text and "Exchange" not in text
+            rows = want[name].select(df.columns)
+            assert df.exceptAll(rows).isEmpty() and rows.exceptAll(df).isEmpty()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        for kind in ("md", "dep"):
+            spark.sql(f"DROP TABLE by_sentence_{kind}")
