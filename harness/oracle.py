@@ -228,6 +228,28 @@ ORACLES = {
              feats, word_id AS token_id, token_id AS position
       FROM md""",
     "explode_dep": _DOCS
+    + """,
+      rows_ AS (
+        SELECT doc_id, sentence_id, token_id AS position, token, token_id - 1 AS head,
+               CASE WHEN token_id = 1 THEN 'ROOT'
+                    ELSE list_extract(['subj', 'obj', 'mod'], L % 3 + 1) END AS deprel,
+               token_id AS id
+        FROM arcs WHERE NOT no_tree AND NOT (n_toks % 5 = 0 AND token_id = n_toks)
+        UNION ALL
+        SELECT DISTINCT doc_id, sentence_id, n_tree, '*', n_toks, 'punct', n_toks + 1
+        FROM arcs WHERE NOT no_tree AND n_toks % 7 = 0
+      )
+      SELECT doc_id, sentence_id, CAST(id AS VARCHAR) AS id, token, token AS lemma,
+             '_' AS cpostag, '_' AS postag, '_' AS feats, CAST(head AS VARCHAR) AS head, deprel,
+             CAST(position AS INTEGER) AS position
+      FROM rows_""",
+    "explode_md_pieces": _DOCS
+    + """
+      SELECT doc_id, sentence_id, CAST(token_id - 1 AS VARCHAR) AS "from",
+             CAST(token_id AS VARCHAR) AS "to", token, lemma, pos AS cpostag, xpos AS postag,
+             feats, word_id AS token_id, token_id AS position
+      FROM md""",
+    "explode_dep_pieces": _DOCS
     + """,
       rows_ AS (
         SELECT doc_id, sentence_id, token_id AS position, token, token_id - 1 AS head,

@@ -190,6 +190,19 @@ def explode_dep(spark, sf):
     return m.explode_dep(decoded(spark, sf, "dep_tree"))
 
 
+def explode_md_pieces(spark, sf):
+    """Lattices cut at the first sentence border behind every 400 characters, and the
+    pieces dealt out over the tasks."""
+    pieces = m.cut_lattices(decoded(spark, sf), chars_per_piece=400)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return m.explode_md(pieces.repartition(tasks, "doc_id", "sentence_offset"))
+
+
+def explode_dep_pieces(spark, sf):
+    trees = decoded(spark, sf, "dep_tree")
+    return m.explode_dep(m.cut_lattices(trees, "dep_tree", chars_per_piece=400))
+
+
 def coerce_int(spark, sf):
     md = m.coerce_int(explode_md(spark, sf), ["from", "to", "token_id", "absent"])
     return md.select("doc_id", "sentence_id", "position", "from", "to", "token_id")
@@ -478,6 +491,8 @@ QUERIES = {
         annotate_deadline,
         explode_md,
         explode_dep,
+        explode_md_pieces,
+        explode_dep_pieces,
         coerce_int,
         token_id_window,
         token_id_sparse,

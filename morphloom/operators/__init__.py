@@ -20,6 +20,7 @@ from morphloom.operators.lattices import (
     attach_dependencies,
     coerce_int,
     content_morphemes,
+    cut_lattices,
     explode_dep,
     explode_md,
     morpheme_table,
@@ -52,6 +53,7 @@ __all__ = [
     "coerce_int",
     "content_morphemes",
     "content_tokens",
+    "cut_lattices",
     "decode_responses",
     "dfm",
     "dfm_documents",

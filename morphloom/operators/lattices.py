@@ -24,6 +24,8 @@ from morphloom.schemas import DEP_COLUMNS, MD_COLUMNS, key_columns, require_colu
 # Rows of one sentence numbered in one window group; see with_token_id.
 ROWS_PER_BLOCK = 100_000
 _FAN = 1024  # blocks in a block of the next level, at least
+# Characters of a piece of a lattice; see cut_lattices.
+PIECE_CHARS = 4_000_000
 
 
 def _explode_lattice(
@@ -31,26 +33,84 @@ def _explode_lattice(
 ) -> DataFrame:
     require_columns(df, "doc_id", col)
     keys = key_columns(df)
+    # Pieces of one lattice go on numbering its sentences.
+    before = ["sentence_offset"] if "sentence_offset" in df.columns else []
+    kept = [*keys, *before]
     # The arrays are written inside the generators: on a column that holds the array,
     # Spark infers a "not empty" filter and builds the array once more for it.
-    lines = df.select(*keys, F.posexplode(sentence_blocks(col)).alias("_s", "_block")).select(
-        *keys, "_s", F.posexplode(sentence_lines("_block")).alias("_p", "_line")
+    lines = df.select(*kept, F.posexplode(sentence_blocks(col)).alias("_s", "_block")).select(
+        *kept, "_s", F.posexplode(sentence_lines("_block")).alias("_p", "_line")
     )
     # Each condition of a later filter would split the line again.
-    rows = lines.select(*keys, "_s", "_p", once(line_fields("_line", upto)).alias("_f"))
+    rows = lines.select(*kept, "_s", "_p", once(line_fields("_line", upto)).alias("_f"))
     return rows.select(
         *keys,
-        (F.col("_s") + 1).alias("sentence_id"),
+        sum(map(F.col, before), F.col("_s") + 1).alias("sentence_id"),
         *[F.get("_f", F.lit(i)).alias(n) for i, n in enumerate(names[:upto])],
         (F.col("_p") + 1).alias("position"),
     )
 
 
+def cut_lattices(
+    df: DataFrame, col: str = "md_lattice", chars_per_piece: int = PIECE_CHARS
+) -> DataFrame:
+    """Lattices in pieces of whole sentences: one row per piece, with ``sentence_offset``.
+
+    For documents so long that the arrays of all their sentences would not fit in a
+    task: :func:`explode_md` and :func:`explode_dep` decode a piece at a time and number
+    its sentences from the offset on, so the rows are those of the whole lattice. A piece
+    ends at the first sentence border behind ``chars_per_piece`` characters. A lattice
+    that is not longer stays as it is. Pieces are rows like others: ``repartition`` them
+    to have one long document decoded by several tasks. Other columns than the keys and
+    the lattice are left out.
+    """
+    require_columns(df, "doc_id", col)
+    if chars_per_piece < 2:
+        raise ValueError("chars_per_piece must be 2 or more")
+    keys = key_columns(df)
+    text, size = F.col(col), F.char_length(col)
+    width = F.lit(chars_per_piece)
+    border = F.filter(
+        F.transform(
+            F.sequence(width, size, width),
+            lambda p: F.call_function("locate", F.lit("\n\n"), text, p),
+        ),
+        lambda b: b > 0,
+    )
+    starts = F.when(size > width, F.array_union(F.array(F.lit(1)), border)).otherwise(
+        F.array(F.lit(1))
+    )
+
+    def piece(start, i):
+        end = F.coalesce(F.get("_starts", i + 1), size + 1)
+        return F.substring(text, start, end - start)
+
+    def sentences(start, i):
+        return F.coalesce(F.array_size(sentence_blocks(piece(start, i))), F.lit(0))
+
+    # How many sentences each piece has but the last, which nothing follows.
+    counts = F.transform(F.slice("_starts", 1, F.size("_starts") - 1), sentences)
+    offsets = F.aggregate(
+        "_counts",
+        F.array(F.lit(0)),
+        lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)),
+    )
+    # Each array once. What follows them is compiled into one stage, so that the text is not
+    # copied for every piece.
+    rows = df.select(*keys, col, once(starts).alias("_starts"))
+    rows = rows.select("*", once(counts).alias("_counts"))
+    rows = rows.select(*keys, col, "_starts", F.posexplode(offsets).alias("_i", "sentence_offset"))
+    return rows.select(
+        *keys, "sentence_offset", piece(F.get("_starts", F.col("_i")), F.col("_i")).alias(col)
+    )
+
+
 def explode_md(df: DataFrame, col: str = "md_lattice") -> DataFrame:
     """One row per lattice line: ``sentence_id``, eight string fields, ``position``.
 
     Short lines are filled with NULL, long ones cut. ``position`` is the line's
-    1-based place in its sentence. Documents without lines give no row.
+    1-based place in its sentence. Documents without lines give no row. With a column
+    ``sentence_offset`` (:func:`cut_lattices`) sentences are numbered from it on.
     """
     return _explode_lattice(df, col, MD_COLUMNS)
 
