@@ -191,16 +191,16 @@ def explode_dep(spark, sf):
 
 
 def explode_md_pieces(spark, sf):
-    """Lattices cut at the first sentence border behind every 400 characters, and the
+    """Lattices cut at the first sentence border behind every 400 bytes, and the
     pieces dealt out over the tasks."""
-    pieces = m.cut_lattices(decoded(spark, sf), chars_per_piece=400)
+    pieces = m.cut_lattices(decoded(spark, sf), bytes_per_piece=400)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return m.explode_md(pieces.repartition(tasks, "doc_id", "sentence_offset"))
 
 
 def explode_dep_pieces(spark, sf):
     trees = decoded(spark, sf, "dep_tree")
-    return m.explode_dep(m.cut_lattices(trees, "dep_tree", chars_per_piece=400))
+    return m.explode_dep(m.cut_lattices(trees, "dep_tree", bytes_per_piece=400))
 
 
 def coerce_int(spark, sf):

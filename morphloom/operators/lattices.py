@@ -6,9 +6,11 @@ shuffle. Every operator keeps ``doc_order`` if the table has it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from morphloom.functions import (
@@ -24,8 +26,9 @@ from morphloom.schemas import DEP_COLUMNS, MD_COLUMNS, key_columns, require_colu
 # Rows of one sentence numbered in one window group; see with_token_id.
 ROWS_PER_BLOCK = 100_000
 _FAN = 1024  # blocks in a block of the next level, at least
-# Characters of a piece of a lattice; see cut_lattices.
-PIECE_CHARS = 4_000_000
+# Bytes of a piece of a lattice; see cut_lattices.
+PIECE_BYTES = 4_000_000
+_BORDER = re.compile(b"\n\n+")
 
 
 def _explode_lattice(
@@ -51,57 +54,59 @@ def _explode_lattice(
     )
 
 
+def _pieces(text: pa.Buffer | None, width: int) -> Iterator[tuple[int, bytes | None]]:
+    """(sentences before, piece) of a lattice cut at the borders behind ``width`` bytes."""
+    if text is None or len(text) <= width:
+        yield 0, text and text.to_pybytes()
+        return
+    view, start, before = memoryview(text), 0, 0
+    while start < len(view):
+        border = _BORDER.search(view, start + width)
+        end = border.end() if border else len(view)
+        piece = bytes(view[start:end]).strip(b"\n")
+        if piece:
+            yield before, piece
+            before += 1 + sum(1 for _ in _BORDER.finditer(piece))
+        start = end
+
+
 def cut_lattices(
-    df: DataFrame, col: str = "md_lattice", chars_per_piece: int = PIECE_CHARS
+    df: DataFrame, col: str = "md_lattice", bytes_per_piece: int = PIECE_BYTES
 ) -> DataFrame:
     """Lattices in pieces of whole sentences: one row per piece, with ``sentence_offset``.
 
     For documents so long that the arrays of all their sentences would not fit in a
     task: :func:`explode_md` and :func:`explode_dep` decode a piece at a time and number
     its sentences from the offset on, so the rows are those of the whole lattice. A piece
-    ends at the first sentence border behind ``chars_per_piece`` characters. A lattice
-    that is not longer stays as it is. Pieces are rows like others: ``repartition`` them
-    to have one long document decoded by several tasks. Other columns than the keys and
-    the lattice are left out.
+    ends at the first sentence border behind ``bytes_per_piece`` bytes; a lattice that
+    is not longer stays as it is. Pieces are rows like others: ``repartition`` them to
+    have one long document decoded by several tasks. Other columns than the keys and the
+    lattice are left out.
+
+    The cut is made in Python workers, on Arrow buffers: SQL functions find the n-th
+    character of a text by reading it from its start, once for every piece.
     """
     require_columns(df, "doc_id", col)
-    if chars_per_piece < 2:
-        raise ValueError("chars_per_piece must be 2 or more")
+    if bytes_per_piece < 1:
+        raise ValueError("bytes_per_piece must be 1 or more")
     keys = key_columns(df)
-    text, size = F.col(col), F.char_length(col)
-    width = F.lit(chars_per_piece)
-    border = F.filter(
-        F.transform(
-            F.sequence(width, size, width),
-            lambda p: F.call_function("locate", F.lit("\n\n"), text, p),
-        ),
-        lambda b: b > 0,
-    )
-    starts = F.when(size > width, F.array_union(F.array(F.lit(1)), border)).otherwise(
-        F.array(F.lit(1))
-    )
-
-    def piece(start, i):
-        end = F.coalesce(F.get("_starts", i + 1), size + 1)
-        return F.substring(text, start, end - start)
-
-    def sentences(start, i):
-        return F.coalesce(F.array_size(sentence_blocks(piece(start, i))), F.lit(0))
-
-    # How many sentences each piece has but the last, which nothing follows.
-    counts = F.transform(F.slice("_starts", 1, F.size("_starts") - 1), sentences)
-    offsets = F.aggregate(
-        "_counts",
-        F.array(F.lit(0)),
-        lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)),
-    )
-    # Each array once. What follows them is compiled into one stage, so that the text is not
-    # copied for every piece.
-    rows = df.select(*keys, col, once(starts).alias("_starts"))
-    rows = rows.select("*", once(counts).alias("_counts"))
-    rows = rows.select(*keys, col, "_starts", F.posexplode(offsets).alias("_i", "sentence_offset"))
-    return rows.select(
-        *keys, "sentence_offset", piece(F.get("_starts", F.col("_i")), F.col("_i")).alias(col)
+    rows = df.select(*keys, F.col(col).cast("binary").alias("_text"))
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("_text")
+            for i in range(batch.num_rows):
+                key = [c.slice(i, 1) for c in batch.columns[:-1]]
+                text = texts[i].as_buffer() if texts[i].is_valid else None
+                for before, piece in _pieces(text, bytes_per_piece):
+                    yield pa.RecordBatch.from_arrays(
+                        [*key, pa.array([piece], pa.binary()), pa.array([before], pa.int32())],
+                        names=[*keys, "_text", "sentence_offset"],
+                    )
+
+    schema = T.StructType([*rows.schema, T.StructField("sentence_offset", T.IntegerType(), False)])
+    return rows.mapInArrow(run, schema).select(
+        *keys, "sentence_offset", F.col("_text").cast("string").alias(col)
     )
 
 
