@@ -57,7 +57,7 @@ def _explode_lattice(
 def _pieces(text: pa.Buffer | None, width: int) -> Iterator[tuple[int, bytes | None]]:
     """(sentences before, piece) of a lattice cut at the borders behind ``width`` bytes."""
     if text is None or len(text) <= width:
-        yield 0, text and text.to_pybytes()
+        yield 0, None if text is None else text.to_pybytes()
         return
     view, start, before = memoryview(text), 0, 0
     while start < len(view):
