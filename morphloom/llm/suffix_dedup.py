@@ -14,6 +14,10 @@ enough to compare strings that share one. The work runs over *cells* of document
 3. each cell marks and removes the covered bytes of its documents.
 
 A passage that very many documents share is sent once per cell, however many hold it.
+An anchor of more than HOT runs, such as one in a footer that very many documents hold
+between other neighbours, has too many contexts for one bucket. Its strings are taken by
+themselves then: each cell sends every distinct one once, with its smallest id, to the
+bucket of the string's own hash.
 The texts are shuffled once, to the cells; that exchange serves all three steps.
 """
 
@@ -32,6 +36,9 @@ from morphloom.llm.common import NO_ID, partitions
 LENGTH = 50
 GRAM = 16
 SHALLOW = 16
+HOT = 50_000  # runs of an anchor whose contexts one bucket compares
+CELL_BYTES = 16_000_000
+BUCKET_BYTES = 8_000_000
 
 _SPAN = LENGTH - GRAM + 1  # grams in a string
 _CONTEXT = 88  # bytes of a context, padded to words of eight: LENGTH + _SPAN - 1 = 84
@@ -76,7 +83,11 @@ class Cell:
         order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
         self.order = order
         self.ids = np.array([ids[i] for i in order], np.int64)
+        valid = table.column("doc_id").is_valid().to_pylist()
+        self.has_id = [valid[i] for i in order]
         lengths = np.array([len(texts[i]) for i in order], np.int64)
+        if lengths.sum() >= 1 << 32:
+            raise ValueError("a cell has 4 GB or more: use more cells")
         self.data = np.frombuffer(b"".join([texts[i] for i in order]) + _PAD, np.uint8)
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
@@ -147,20 +158,54 @@ class Cell:
         return which, first, several[place]
 
 
-def alike(rows: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """For each context the place of the first equal one, by 128 bits of hash."""
+    def alike_of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each of these anchors the place among them of the first one with the same
+        context; and the anchors that are the first ones."""
+        first = alike(self.contexts(which), self.count[which])
+        return first, which[first == np.arange(len(first))]
+
+    def strings(self, which: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct strings of these anchors, in order; their least ids; and for each string
+        of each anchor its place among them, its anchor's place in ``which`` and its offset."""
+        n = self.count[which].astype(np.int64)
+        owner = np.repeat(np.arange(len(which)), n)
+        offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        rows = sliding_window_view(self.data, LENGTH)[self.first[which][owner] + offset]
+        distinct, place = distinct_rows(rows)
+        least = np.full(len(distinct), NO_ID, np.int64)
+        np.minimum.at(least, place, self.ids[self.doc[which[owner]]])
+        return distinct, least, place, owner, offset
+
+
+def distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct strings among rows of LENGTH bytes, and each row's place among them."""
+    whole = np.ascontiguousarray(rows).view(np.dtype((np.void, LENGTH))).ravel()
+    distinct, place = np.unique(whole, return_inverse=True)
+    return distinct.view(np.uint8).reshape(-1, LENGTH), place.ravel()
+
+
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row, whose length is a multiple of eight."""
     words = np.ascontiguousarray(rows).view(np.uint64)
-    one = two = count.astype(np.uint64)
+    total = np.zeros(len(rows), np.uint64)
     for i in range(words.shape[1]):
         word = words[:, i] * _BYTES[0]
         word ^= word >> np.uint64(32)
-        one = one + word * _BYTES[2 * i + 1]
-        two = two + word * _BYTES[2 * i + 2]
-    one, two = _mixed(one), _mixed(two)
-    order = np.lexsort((two, one))  # stable, so the first of equal ones comes first
-    a, b = one[order], two[order]
+        total += word * _BYTES[2 * i + 1]
+    return _mixed(total)
+
+
+def alike(rows: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """For each context the place of the first equal one. Contexts meet by hash and are
+    compared; other ones of the same hash may part equal ones, which does no harm."""
+    hashes = row_hashes(rows)
+    order = np.argsort(hashes, kind="stable")  # the first of equal ones comes first
+    words = np.ascontiguousarray(rows).view(np.uint64)
     new = np.ones(len(order), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    new[1:] = np.diff(count[order]) != 0
+    for values in (hashes, *words.T):
+        value = values[order]
+        new[1:] |= value[1:] != value[:-1]
     first = np.empty(len(order), np.int64)
     first[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     return first
@@ -277,6 +322,8 @@ def _by_bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
 
 
 _MESSAGE = pa.schema([("bucket", pa.int32()), ("cell", pa.int32()), ("body", pa.binary())])
+# What a message of the second step, or its answer, is about.
+_CONTEXTS, _STRINGS, _ANCHORS = b"c", b"s", b"a"
 _ANSWER = pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("body", pa.binary())])
 
 
@@ -287,34 +334,50 @@ def _table(schema: pa.Schema, columns_: list[list]) -> pa.Table:
 def _send_anchors(buckets: int):
     def run(docs: pa.Table) -> pa.Table:
         cell, out = Cell(docs), [[], [], []]
-        hashes = np.unique(cell.hash)
+        hashes, runs = np.unique(cell.hash, return_counts=True)
         order, bounds = _by_bucket(hashes, buckets)
         for b in np.flatnonzero(np.diff(bounds)):
-            part = hashes[order[bounds[b] : bounds[b + 1]]].astype(np.uint32)
+            part = order[bounds[b] : bounds[b + 1]]
+            many = np.flatnonzero(runs[part] > 1)
+            body = np.uint32(len(part)), hashes[part], many, runs[part][many]
             out[0].append(b)
-            out[2].append(part.tobytes())
+            out[2].append(b"".join(x.astype(np.uint32).tobytes() for x in body))
         out[1] = [docs.column("cell")[0].as_py()] * len(out[0])
         return _table(_MESSAGE, out)
 
     return run
 
 
-def _find_shared(messages: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(x, np.uint32) for x in messages.column("body").to_pylist()]
-    sizes = np.array([len(p) for p in parts])
-    values, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes)
-    order = np.lexsort((owner, values))
-    v, o = values[order], owner[order]
-    shared = np.zeros(len(v), bool)
-    other = (v[1:] == v[:-1]) & (o[1:] != o[:-1])
-    shared[1:] |= other
-    shared[:-1] |= other
-    bits = np.empty(len(v), bool)
-    bits[order] = shared
-    bodies = [np.packbits(x).tobytes() for x in np.split(bits, np.cumsum(sizes)[:-1])]
-    return _table(
-        _ANSWER, [messages.column("cell").to_pylist(), messages.column("bucket").to_pylist(), bodies]
-    )
+def _find_shared(hot: int):
+    def run(messages: pa.Table) -> pa.Table:
+        parts, runs = [], []
+        for body in messages.column("body").to_pylist():
+            part = np.frombuffer(body, np.uint32)
+            n, part = part[0], part[1:]
+            more = part[n:].reshape(2, -1)
+            parts.append(part[:n])
+            runs.append(np.ones(n, np.int64))
+            runs[-1][more[0]] = more[1]
+        sizes = np.array([len(p) for p in parts])
+        values, owner = np.concatenate(parts), np.repeat(np.arange(len(parts)), sizes)
+        order = np.lexsort((owner, values))
+        v, o = values[order], owner[order]
+        shared = np.zeros(len(v), bool)
+        other = (v[1:] == v[:-1]) & (o[1:] != o[:-1])
+        shared[1:] |= other
+        shared[:-1] |= other
+        starts = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+        total = np.add.reduceat(np.concatenate(runs)[order], starts)
+        bits = np.empty((len(v), 2), bool)
+        bits[order, 0] = shared
+        bits[order, 1] = np.repeat(total, np.diff(np.append(starts, len(v)))) > hot
+        bodies = [np.packbits(x).tobytes() for x in np.split(bits, np.cumsum(sizes)[:-1])]
+        return _table(
+            _ANSWER,
+            [messages.column("cell").to_pylist(), messages.column("bucket").to_pylist(), bodies],
+        )
+
+    return run
 
 
 def _send_contexts(buckets: int):
@@ -325,12 +388,14 @@ def _send_contexts(buckets: int):
         cell = Cell(docs)
         hashes, place = np.unique(cell.hash, return_inverse=True)
         order, bounds = _by_bucket(hashes, buckets)
-        known = np.zeros(len(hashes), bool)
+        known, hot = np.zeros((2, len(hashes)), bool)
         for b, body in zip(answers.column("bucket").to_pylist(), answers.column("body").to_pylist()):
             part = order[bounds[b] : bounds[b + 1]]
-            known[part] = np.unpackbits(np.frombuffer(body, np.uint8), count=len(part)) > 0
+            bits = np.unpackbits(np.frombuffer(body, np.uint8), count=2 * len(part)) > 0
+            known[part], hot[part] = bits.reshape(-1, 2).T
         which, first, several = cell.repeated(known[place])
         send = (first == np.arange(len(first))) & (several | known[place[which]])
+        send &= ~hot[place[which]]
         which = which[send]
         rows, count = cell.contexts(which), cell.count[which]
         order, bounds = _by_bucket(cell.hash[which], buckets)
@@ -346,13 +411,28 @@ def _send_contexts(buckets: int):
                 rows[part][kept].tobytes(),
             ]
             out[0].append(b)
-            out[2].append(pack.compress(b"".join(body)))
+            out[2].append(_CONTEXTS + pack.compress(b"".join(body)))
+        if hot.any():
+            strings, least, *_ = cell.strings(cell.alike_of(np.flatnonzero(hot[place]))[1])
+            order, bounds = _strings_by_bucket(strings, buckets)
+            for b in np.flatnonzero(np.diff(bounds)):
+                part = order[bounds[b] : bounds[b + 1]]
+                body = np.int64(len(part)).tobytes() + least[part].tobytes() + strings[part].tobytes()
+                out[0].append(b)
+                out[2].append(_STRINGS + pack.compress(body))
+            # comes back as it is, so that the last step knows the anchors too
+            out[0].append(docs.column("cell")[0].as_py() % buckets)
+            out[2].append(_ANCHORS + hashes[hot].tobytes())
         out[1] = [docs.column("cell")[0].as_py()] * len(out[0])
         return _table(_MESSAGE, out)
 
     return run
 
 
+def _strings_by_bucket(strings: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    return _by_bucket(row_hashes(np.pad(strings, ((0, 0), (0, -LENGTH % 8)))), buckets)
+
+
 def _read_contexts(body: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(body)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
@@ -366,23 +446,77 @@ def _read_contexts(body: bytes) -> tuple[np.ndarray, ...]:
     return ids, first, count, rows
 
 
-def _find_earlier(messages: pa.Table) -> pa.Table:
-    parts = [_read_contexts(x) for x in messages.column("body").to_pylist()]
+def _read_strings(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(body)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    strings = np.frombuffer(raw, np.uint8, offset=8 + 8 * n).reshape(n, LENGTH)
+    return np.frombuffer(raw, np.int64, n, 8), strings
+
+
+def _context_answers(bodies: list[bytes]) -> list[bytes]:
+    parts = [_read_contexts(x) for x in bodies]
     ids, first, count, rows = (np.concatenate(x) for x in zip(*parts))
     bits = earlier_starts(rows, count, ids)
     bounds = np.cumsum([len(p[0]) for p in parts])[:-1]
-    bodies = []
+    out = []
     for f, m in zip(np.split(first, bounds), np.split(bits, bounds)):
         some = m > 0
-        bodies.append(f[some].tobytes() + m[some].tobytes())
-    return _table(
-        _ANSWER, [messages.column("cell").to_pylist(), messages.column("bucket").to_pylist(), bodies]
-    )
+        out.append(f[some].tobytes() + m[some].tobytes())
+    return out
+
+
+def _string_answers(bodies: list[bytes]) -> list[bytes]:
+    """For each message a bit per string: whether another cell has it with a smaller id."""
+    parts = [_read_strings(x) for x in bodies]
+    ids, strings = (np.concatenate(x) for x in zip(*parts))
+    distinct, place = distinct_rows(strings)
+    least = np.full(len(distinct), NO_ID, np.int64)
+    np.minimum.at(least, place, ids)
+    bounds = np.cumsum([len(p[0]) for p in parts])[:-1]
+    return [np.packbits(x).tobytes() for x in np.split(least[place] < ids, bounds)]
 
 
-def _covered(cell: Cell, bodies: list[bytes]) -> np.ndarray:
+_ANSWERS = {_CONTEXTS: _context_answers, _STRINGS: _string_answers, _ANCHORS: list}
+
+
+def _find_earlier(messages: pa.Table) -> pa.Table:
+    cells, buckets, bodies = (messages.column(c).to_pylist() for c in ("cell", "bucket", "body"))
+    out = [None] * len(bodies)
+    for kind, answers in _ANSWERS.items():
+        here = [i for i, body in enumerate(bodies) if body[:1] == kind]
+        for i, answer in zip(here, answers([bodies[i][1:] for i in here]) if here else []):
+            out[i] = kind + answer
+    return _table(_ANSWER, [cells, buckets, out])
+
+
+def _hot_masks(cell: Cell, answers: list[tuple[int, bytes]], buckets: int) -> tuple[np.ndarray, ...]:
+    """The anchors whose strings were compared by themselves, and the bits of those strings
+    that an earlier document has."""
+    anchors = [b[1:] for _, b in answers if b[:1] == _ANCHORS]
+    if not anchors:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    which = np.flatnonzero(np.isin(cell.hash, np.frombuffer(b"".join(anchors), np.uint64)))
+    first, heads = cell.alike_of(which)
+    strings, least, place, owner, offset = cell.strings(heads)
+    order, bounds = _strings_by_bucket(strings, buckets)
+    elsewhere = np.zeros(len(strings), bool)
+    for b, body in answers:
+        if body[:1] == _STRINGS:
+            part = order[bounds[b] : bounds[b + 1]]
+            elsewhere[part] = np.unpackbits(np.frombuffer(body, np.uint8, offset=1), count=len(part)) > 0
+    hit = elsewhere[place] | (least[place] < cell.ids[cell.doc[heads[owner]]])
+    bits = np.zeros(len(heads), np.uint64)
+    np.bitwise_or.at(bits, owner[hit], np.uint64(1) << offset[hit].astype(np.uint64))
+    bits = bits[np.searchsorted(heads, which[first])]
+    later = cell.ids[cell.doc[which]] > cell.ids[cell.doc[which[first]]]
+    bits[later] = (np.uint64(1) << cell.count[which[later]].astype(np.uint64)) - np.uint64(1)
+    return which, bits
+
+
+def _covered(cell: Cell, answers: list[tuple[int, bytes]], buckets: int) -> np.ndarray:
     """Per byte of the cell whether it is removed."""
     change = np.zeros(len(cell.data) + 1, np.int32)
+    bodies = [b[1:] for _, b in answers if b[:1] == _CONTEXTS]
     parts = [(len(b) // 12, b) for b in bodies]
     at = np.concatenate([np.frombuffer(b, np.uint32, n) for n, b in parts] or [np.zeros(0, np.uint32)])
     bits = np.concatenate([np.frombuffer(b, np.uint64, n, 4 * n) for n, b in parts] or [np.zeros(0, np.uint64)])
@@ -397,11 +531,13 @@ def _covered(cell: Cell, bodies: list[bytes]) -> np.ndarray:
         mask[which] = mask[head]
         later = cell.ids[cell.doc[which]] > cell.ids[cell.doc[head]]
         mask[which[later]] = (np.uint64(1) << cell.count[which[later]].astype(np.uint64)) - np.uint64(1)
+    hot, bits = _hot_masks(cell, answers, buckets)
+    mask[hot] = bits
     for offset in range(_SPAN):
         hit = cell.first[(mask >> np.uint64(offset)) & np.uint64(1) > 0] + offset
         change[hit] += 1  # starts of one offset are distinct
         change[hit + LENGTH] -= 1
-    return np.cumsum(change[:-1]) > 0
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 _RESULT = pa.schema(
@@ -410,18 +546,19 @@ _RESULT = pa.schema(
 )
 
 
-def _remove(carry: bool):
+def _remove(buckets: int, carry: bool):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         rows, left, order = [], [], []
         if docs.num_rows:
             cell = Cell(docs)
             order = cell.order
-            covered = _covered(cell, answers.column("body").to_pylist())
+            bodies = zip(answers.column("bucket").to_pylist(), answers.column("body").to_pylist())
+            covered = _covered(cell, list(bodies), buckets)
             for i, (start, end) in enumerate(zip(cell.starts, cell.ends)):
                 gone = covered[start:end]
                 rest = cell.data[start:end][~gone].tobytes()
                 spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                id_ = None if cell.ids[i] == NO_ID else int(cell.ids[i])
+                id_ = int(cell.ids[i]) if cell.has_id[i] else None
                 digest = hashlib.sha256(rest).hexdigest()
                 rows.append((id_, int(end - start), int(gone.sum()), spans, digest))
                 left.append(rest.decode(errors="ignore") if carry else None)
@@ -434,35 +571,51 @@ def _remove(carry: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, carry: bool = False, cells: int | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    carry: bool = False,
+    cells: int | None = None,
+    buckets: int | None = None,
+    hot: int = HOT,
+) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte is removed if a string of LENGTH bytes that covers it also starts in a
     document with a smaller ``doc_id``; strings are judged on the input and may overlap,
     and none crosses documents. ``carry`` adds ``left``, the text that is left (a
     character cut in part goes from it as a whole), and ``row``, the row of ``docs``.
-    ``cells`` (two per shuffle partition by default) bounds what a task holds and never
-    changes the result.
 
-    A NULL text counts as empty. A NULL id counts as larger than any other. Rows with
-    the same id count as one document's parts: none removes bytes of another. An empty
-    table gives an empty result; other columns are ignored.
+    ``cells``, ``buckets`` and ``hot`` (runs of an anchor whose contexts are compared
+    together) bound what a task holds and never change the result. By default there is
+    a cell per CELL_BYTES and a bucket per BUCKET_BYTES of text, which is summed up when the
+    plan is built, and at least two per shuffle partition. Every cell may send a message
+    to every bucket, so their number grows with the square of the input.
+
+    A NULL text counts as empty. A NULL id counts as larger than any other (but 2^63 - 1,
+    with which it is equal). Rows with the same id count as one document's parts: none
+    removes bytes of another. An empty table gives an empty result; other columns are
+    ignored.
     """
-    cells = cells or 2 * partitions(docs.sparkSession)
-    ids = F.col("doc_id").cast("long")
+    if cells is None or buckets is None:
+        size = docs.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
+        least = 2 * partitions(docs.sparkSession)
+        cells = cells or max(least, -(-size // CELL_BYTES))
+        buckets = buckets or max(least, -(-size // BUCKET_BYTES))
+    ids, text = F.col("doc_id").cast("long"), F.col("text").cast("binary")
     placed = docs.select(
-        F.pmod(F.xxhash64(ids), F.lit(cells)).cast("int").alias("cell"),
+        # with the text, so that an id that very many rows have is spread over the cells
+        F.pmod(F.xxhash64(ids, text), F.lit(cells)).cast("int").alias("cell"),
         ids.alias("doc_id"),
-        F.col("text").cast("binary").alias("text"),
+        text.alias("text"),
         *([F.struct(*[c for c in docs.columns if c != "text"]).alias("row")] if carry else []),
     )
     message, answer = "bucket int, cell int, body binary", "cell int, bucket int, body binary"
-    anchors = placed.groupBy("cell").applyInArrow(_send_anchors(cells), message)
-    shared = anchors.groupBy("bucket").applyInArrow(_find_shared, answer)
+    anchors = placed.groupBy("cell").applyInArrow(_send_anchors(buckets), message)
+    shared = anchors.groupBy("bucket").applyInArrow(_find_shared(hot), answer)
     contexts = (
         placed.groupBy("cell")
         .cogroup(shared.groupBy("cell"))
-        .applyInArrow(_send_contexts(cells), message)
+        .applyInArrow(_send_contexts(buckets), message)
     )
     earlier = contexts.groupBy("bucket").applyInArrow(_find_earlier, answer)
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -471,7 +624,7 @@ def remove_repeats(docs: DataFrame, carry: bool = False, cells: int | None = Non
     return (
         placed.groupBy("cell")
         .cogroup(earlier.groupBy("cell"))
-        .applyInArrow(_remove(carry), result)
+        .applyInArrow(_remove(buckets, carry), result)
     )
 
 

@@ -56,12 +56,64 @@ def documents():
     return docs
 
 
-@pytest.mark.parametrize("cells", [1, 3, 16])
-def test_against_brute_force(spark, cells):
-    docs = documents()
+@pytest.mark.parametrize("cells, buckets, hot", [(1, 1, sd.HOT), (3, 5, sd.HOT), (16, 16, 0), (1, 4, 0), (5, 3, 8)])
+def test_against_brute_force(spark, cells, buckets, hot):
+    docs = documents() + [(2**63 - 1, "own " * 30)]
     df = spark.createDataFrame(docs, SCHEMA).withColumn("cell", F.lit("clash"))
-    got = sorted((tuple(r) for r in sd.remove_repeats(df, cells=cells).collect()), key=str)
-    assert got == brute(docs)
+    got = sd.remove_repeats(df, cells=cells, buckets=buckets, hot=hot)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(docs)
+
+
+@pytest.mark.parametrize("hot", [50, sd.HOT])
+def test_a_footer_of_very_many_documents(spark, hot):
+    """Thirty bytes in a third of the documents, between different neighbours; one
+    neighbour in fifty is the same, so some strings around the footer repeat."""
+    rng = random.Random(3)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghij ") for _ in range(n))
+
+    after = [noise(60) for _ in range(50)]
+    docs = []
+    for i in range(3000):
+        text = noise(rng.randint(40, 90))
+        if i % 3 == 0:
+            text += " -- sent from my little phone" + (rng.choice(after) if i % 4 else noise(30))
+        docs.append((i, text))
+    df = spark.createDataFrame(docs, SCHEMA)
+    got = sd.remove_repeats(df, hot=hot).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(docs)
+
+
+def test_strings_of_a_hot_anchor_are_spread():
+    """No bucket gets all strings around a footer, and a string goes out once per cell."""
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+
+    rng = random.Random(5)
+    rows = [(i, bytes(rng.randrange(97, 120) for _ in range(60)) + b"=" * 30) for i in range(400)]
+    rows += [(i + 1000, t) for i, t in rows]
+    docs = pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows], "cell": [0] * len(rows)})
+    asked = sd._send_anchors(16)(docs)
+    answers = pa.concat_tables(
+        sd._find_shared(20)(asked.filter(pa.compute.equal(asked["bucket"], b)))
+        for b in set(asked["bucket"].to_pylist())
+    )
+    sent = sd._send_contexts(16)(docs, answers)
+    bodies = [b for b in sent["body"].to_pylist() if b[:1] == b"s"]
+    sizes = [len(sd._read_strings(b[1:])[0]) for b in bodies]
+    assert len(sizes) == 16 and max(sizes) < sum(sizes) / 4
+    strings = {bytes(x) for b in bodies for x in sd._read_strings(b[1:])[1]}
+    assert len(strings) == sum(sizes)
+
+
+def test_equal_contexts_are_compared(monkeypatch):
+    """Contexts whose hashes are all equal are still told apart."""
+    monkeypatch.setattr(sd, "row_hashes", lambda rows: np.zeros(len(rows), np.uint64))
+    rows = np.zeros((6, 88), np.uint8)
+    rows[[1, 4, 5], 3] = 7
+    first = sd.alike(rows, np.array([5, 5, 5, 6, 5, 5]))
+    assert first.tolist() == [0, 1, 2, 3, 4, 4]
 
 
 def test_empty_table(spark):
