@@ -133,6 +133,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_repetition": repetition.SQL,
+    "op7_suffix_dedup": suffix_dedup.SQL,
     "op11_k2_search": k2_search.SQL,
     "op13_bitplane_clusters": bitplane_clusters.sql(),
 }

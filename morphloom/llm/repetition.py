@@ -185,3 +185,53 @@ def quality(
         f"{f.name} {'boolean' if f.type == pa.bool_() else 'long'}" for f in schema
     )
     return columns(docs, "string").mapInArrow(run, ddl)
+
+
+# The rows of :func:`quality` with its default limits. Equal words on one diagonal of a text
+# with itself make up its repeats.
+SQL = rf"""
+  WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+  ),
+  w AS (SELECT r, unnest(generate_series(1, len(words))) AS i, unnest(words) AS word FROM d),
+  sized (size) AS (VALUES (3), ({MIN_REPEAT})),
+  windows AS (
+    SELECT r, size, i,
+           count(*) OVER (PARTITION BY r, size, words[i : i + size - 1]) > 1 AS twice
+    FROM (SELECT r, words, unnest(generate_series(1, len(words))) AS i FROM d), sized
+    WHERE i + size - 1 <= len(words)
+  ),
+  covered AS (
+    SELECT r, size, count(DISTINCT place) AS n
+    FROM (SELECT r, size, unnest(generate_series(i, i + size - 1)) AS place FROM windows WHERE twice)
+    GROUP BY ALL
+  ),
+  runs AS (
+    SELECT r, count(*) AS n
+    FROM (SELECT a.r, b.i - a.i AS apart,
+                 a.i - row_number() OVER (PARTITION BY a.r, b.i - a.i ORDER BY a.i) AS run
+          FROM w a JOIN w b ON a.r = b.r AND a.word = b.word AND a.i < b.i)
+    GROUP BY r, apart, run
+  ),
+  counts AS (
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT)
+             AS n_symbols,
+           (SELECT count(*) - count(DISTINCT line) FROM (SELECT unnest(string_split(text, chr(10))) AS line)
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_dup_lines,
+           coalesce((SELECT n FROM covered c WHERE c.r = d.r AND size = 3), 0) AS n_repeat_words,
+           coalesce((SELECT n FROM covered c WHERE c.r = d.r AND size = {MIN_REPEAT}), 0) AS n_covered,
+           coalesce((SELECT max(n) FROM runs u WHERE u.r = d.r), 0) AS longest_repeat
+    FROM d
+  ),
+  judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+  )
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+         NOT base_failed AND n_covered <= CAST({MAX_COVERED} AS DOUBLE) * n_words
+         AND longest_repeat <= greatest({LONGEST_FREE}, CAST({MAX_LONGEST} AS DOUBLE) * n_words) AS kept,
+         n_covered, longest_repeat
+  FROM judged"""

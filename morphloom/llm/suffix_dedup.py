@@ -643,3 +643,40 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     return done.where(F.col("left").rlike(r"[^\x20\x09-\x0D]")).select(
         *[v.alias(c) for c, v in values.items()]
     )
+
+
+# The rows of :func:`remove_repeats`: bytes as pairs of hex digits, strings as their text.
+SQL = f"""
+  WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, {NO_ID}) AS id,
+           lower(hex(encode(coalesce(text, '')))) AS bytes,
+           octet_length(encode(coalesce(text, ''))) AS n
+    FROM documents
+  ),
+  strings AS MATERIALIZED (
+    SELECT r, id, i, substr(bytes, 2 * i + 1, {2 * LENGTH}) AS string
+    FROM (SELECT r, id, bytes, unnest(generate_series(0, n - {LENGTH})) AS i FROM d)
+  ),
+  least AS (SELECT string, min(id) AS least FROM strings GROUP BY string),
+  starts AS (
+    SELECT r, i, i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -{LENGTH + 1}) + {LENGTH} AS new
+    FROM strings JOIN least USING (string) WHERE least < id
+  ),
+  spans AS MATERIALIZED (
+    SELECT r, min(i) AS a, max(i) + {LENGTH} AS b
+    FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS span FROM starts)
+    GROUP BY r, span
+  ),
+  left_ AS (  -- what is before each span and behind the last
+    SELECT r, a, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS begin_
+    FROM (SELECT * FROM spans UNION ALL SELECT r, n, n FROM d)
+  ),
+  kept AS (
+    SELECT r, string_agg(substr(bytes, 2 * begin_ + 1, 2 * (a - begin_)), '' ORDER BY a, begin_) AS bytes
+    FROM left_ JOIN d USING (r) GROUP BY r
+  )
+  SELECT doc_id, CAST(n AS BIGINT) AS n_bytes,
+         CAST(coalesce((SELECT sum(b - a) FROM spans s WHERE s.r = d.r), 0) AS BIGINT) AS n_removed,
+         (SELECT count(*) FROM spans s WHERE s.r = d.r) AS n_spans,
+         sha256(unhex(kept.bytes)) AS kept_sha256
+  FROM d JOIN kept USING (r)"""
