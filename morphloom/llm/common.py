@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import os
 import sys
 import tempfile
@@ -70,6 +72,44 @@ def worker_cache(key: Hashable, make: Callable[[], object]):
     return value
 
 
+def give_back() -> None:
+    """Hand memory that this process has freed but still holds back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run``, a function for mapInArrow or applyInArrow, with :func:`give_back` behind it.
+
+    Spark keeps a worker for later tasks, of other stages too. What a task has freed would
+    otherwise stay with each of them, on top of what the executor needs by then.
+    """
+
+    def stream(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    def group(rows):
+        try:
+            return run(rows)
+        finally:
+            give_back()
+
+    def groups(left, right):
+        try:
+            return run(left, right)
+        finally:
+            give_back()
+
+    # Spark goes by the number of arguments, so each kind has its own
+    two = len(inspect.signature(run).parameters) == 2
+    return stream if inspect.isgeneratorfunction(run) else groups if two else group
+
+
 class Remembered(dict):
     """What ``make`` gives for a key, made once while it is remembered.
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from morphloom.llm.common import columns
+from morphloom.llm.common import columns, tidy
 from morphloom.llm.training import sample
 
 UNKNOWN = "und"
@@ -344,7 +344,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 schema=schema,
             )
 
-    rows = columns(docs, "string").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    rows = columns(docs, "string").mapInArrow(tidy(run), "doc_id long, lang_pred string, score double")
     return rows.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
@@ -358,4 +358,4 @@ def identified(docs: DataFrame, reject: float = REJECT) -> DataFrame:
             good = [lang != UNKNOWN and score >= reject for lang, score in zip(langs, found)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from morphloom.llm.common import columns, keep
+from morphloom.llm.common import columns, keep, tidy
 from morphloom.llm.training import sample
 
 PER_DOMAIN = 400  # labelled texts that the classifier is fitted on
@@ -148,7 +148,7 @@ def memberships(docs: DataFrame, model: Classifier | None) -> DataFrame:
             )
 
     whole = columns(docs, "string").select("doc_id", F.xxhash64(F.col("text")).alias("digest"), "text")
-    return whole.mapInArrow(run, "doc_id long, digest long, n_tokens long, p array<double>")
+    return whole.mapInArrow(tidy(run), "doc_id long, digest long, n_tokens long, p array<double>")
 
 
 def _move(step: list[float]) -> Column:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from morphloom.llm.common import columns
+from morphloom.llm.common import columns, tidy
 
 MARK = "▁"
 TABLE = 1_000_000
@@ -132,4 +132,4 @@ def encode_decode(
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     ddl += ", ids binary, decoded string" if output else ""
-    return columns(docs, "string").mapInArrow(run, ddl)
+    return columns(docs, "string").mapInArrow(tidy(run), ddl)

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from morphloom.llm.common import columns, components, keep, texts
+from morphloom.llm.common import columns, components, keep, texts, tidy
 
 SEED = 42
 WIDTH = 3
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataF
             yield pa.RecordBatch.from_arrays([ids, digests, signed], schema=schema)
 
     whole = columns(docs).select("doc_id", F.xxhash64("text").alias("digest"), "text")
-    return whole.mapInArrow(run, "doc_id long, digest long, fp long")
+    return whole.mapInArrow(tidy(run), "doc_id long, digest long, fp long")
 
 
 def _byte(position: int) -> Column:
@@ -129,7 +129,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) ->
                 [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema
             )
 
-    return dealt.select("fps").mapInArrow(run, "a long, b long").distinct()
+    return dealt.select("fps").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def grouped(

@@ -31,7 +31,7 @@ import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from morphloom.llm.common import NO_ID, partitions
+from morphloom.llm.common import NO_ID, partitions, tidy
 
 LENGTH = 50
 GRAM = 16
@@ -610,21 +610,21 @@ def remove_repeats(
         *([F.struct(*[c for c in docs.columns if c != "text"]).alias("row")] if carry else []),
     )
     message, answer = "bucket int, cell int, body binary", "cell int, bucket int, body binary"
-    anchors = placed.groupBy("cell").applyInArrow(_send_anchors(buckets), message)
-    shared = anchors.groupBy("bucket").applyInArrow(_find_shared(hot), answer)
+    anchors = placed.groupBy("cell").applyInArrow(tidy(_send_anchors(buckets)), message)
+    shared = anchors.groupBy("bucket").applyInArrow(tidy(_find_shared(hot)), answer)
     contexts = (
         placed.groupBy("cell")
         .cogroup(shared.groupBy("cell"))
-        .applyInArrow(_send_contexts(buckets), message)
+        .applyInArrow(tidy(_send_contexts(buckets)), message)
     )
-    earlier = contexts.groupBy("bucket").applyInArrow(_find_earlier, answer)
+    earlier = contexts.groupBy("bucket").applyInArrow(tidy(_find_earlier), answer)
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if carry:
         result += f", left string, row {placed.schema['row'].dataType.simpleString()}"
     return (
         placed.groupBy("cell")
         .cogroup(earlier.groupBy("cell"))
-        .applyInArrow(_remove(buckets, carry), result)
+        .applyInArrow(tidy(_remove(buckets, carry)), result)
     )
 
 
