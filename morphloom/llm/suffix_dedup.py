@@ -31,7 +31,7 @@ import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from morphloom.llm.common import NO_ID, partitions, tidy
+from morphloom.llm.common import NO_ID, tidy
 
 LENGTH = 50
 GRAM = 16
@@ -571,6 +571,11 @@ def _remove(buckets: int, carry: bool):
     return run
 
 
+def shares(size: int, cores: int) -> tuple[int, int]:
+    """Cells and buckets for so many bytes of text."""
+    return max(2 * cores, -(-size // CELL_BYTES)), max(2 * cores, -(-size // BUCKET_BYTES))
+
+
 def remove_repeats(
     docs: DataFrame,
     carry: bool = False,
@@ -588,8 +593,9 @@ def remove_repeats(
     ``cells``, ``buckets`` and ``hot`` (runs of an anchor whose contexts are compared
     together) bound what a task holds and never change the result. By default there is
     a cell per CELL_BYTES and a bucket per BUCKET_BYTES of text, which is summed up when the
-    plan is built, and at least two per shuffle partition. Every cell may send a message
-    to every bucket, so their number grows with the square of the input.
+    plan is built, and at least two per core. Every cell may send a message to every bucket,
+    so their number grows with the square of the input, and does not depend on
+    ``spark.sql.shuffle.partitions``.
 
     A NULL text counts as empty. A NULL id counts as larger than any other (but 2^63 - 1,
     with which it is equal). Rows with the same id count as one document's parts: none
@@ -598,9 +604,8 @@ def remove_repeats(
     """
     if cells is None or buckets is None:
         size = docs.agg(F.sum(F.octet_length(F.col("text").cast("binary")))).first()[0] or 0
-        least = 2 * partitions(docs.sparkSession)
-        cells = cells or max(least, -(-size // CELL_BYTES))
-        buckets = buckets or max(least, -(-size // BUCKET_BYTES))
+        most_cells, most_buckets = shares(size, docs.sparkSession.sparkContext.defaultParallelism)
+        cells, buckets = cells or most_cells, buckets or most_buckets
     ids, text = F.col("doc_id").cast("long"), F.col("text").cast("binary")
     placed = docs.select(
         # with the text, so that an id that very many rows have is spread over the cells

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -145,3 +146,19 @@ def test_sort_orders_suffixes():
     assert found == sorted(found)
     for i in range(1, len(found)):
         assert (group[i] == i) == (found[i] != found[i - 1])
+
+
+def test_messages_do_not_depend_on_shuffle_partitions(spark):
+    docs = spark.createDataFrame([(i, f"{i} " * 20 + "the same passage " * 5) for i in range(300)], SCHEMA)
+    sent = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (4, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            plan = sd.remove_repeats(docs)._jdf.queryExecution().analyzed().toString()
+            sent.append(re.findall(r"pmod\(xxhash64\(.*?\), (\d+)\)", plan))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sent[0] and sent[0] == sent[1]
+    assert sd.shares(0, 6) == (12, 12)
+    assert sd.shares(10 * sd.CELL_BYTES, 2) == (10, 10 * sd.CELL_BYTES // sd.BUCKET_BYTES)
