@@ -28,6 +28,7 @@ ROWS_PER_BLOCK = 100_000
 _FAN = 1024  # blocks in a block of the next level, at least
 # Bytes of a piece of a lattice; see cut_lattices.
 PIECE_BYTES = 4_000_000
+_PIECES_PER_BATCH = 10_000
 _BORDER = re.compile(b"\n\n+")
 
 
@@ -95,14 +96,33 @@ def cut_lattices(
     def run(batches):
         for batch in batches:
             texts = batch.column("_text")
+            # Pieces go on together, up to so many bytes: a batch of one short piece costs
+            # many times what the cut does.
+            source, pieces, offsets, held = [], [], [], 0
+
+            def flush() -> pa.RecordBatch:
+                place = pa.array(source, pa.int64())
+                return pa.RecordBatch.from_arrays(
+                    [
+                        *(c.take(place) for c in batch.columns[:-1]),
+                        pa.array(pieces, pa.binary()),
+                        pa.array(offsets, pa.int32()),
+                    ],
+                    names=[*keys, "_text", "sentence_offset"],
+                )
+
             for i in range(batch.num_rows):
-                key = [c.slice(i, 1) for c in batch.columns[:-1]]
                 text = texts[i].as_buffer() if texts[i].is_valid else None
                 for before, piece in _pieces(text, bytes_per_piece):
-                    yield pa.RecordBatch.from_arrays(
-                        [*key, pa.array([piece], pa.binary()), pa.array([before], pa.int32())],
-                        names=[*keys, "_text", "sentence_offset"],
-                    )
+                    source.append(i)
+                    pieces.append(piece)
+                    offsets.append(before)
+                    held += len(piece or b"")
+                    if held >= PIECE_BYTES or len(source) >= _PIECES_PER_BATCH:
+                        yield flush()
+                        source, pieces, offsets, held = [], [], [], 0
+            if source:
+                yield flush()
 
     schema = T.StructType([*rows.schema, T.StructField("sentence_offset", T.IntegerType(), False)])
     return rows.mapInArrow(run, schema).select(

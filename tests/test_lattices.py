@@ -353,3 +353,31 @@ def test_pieces_need_a_width(spark):
     df = spark.createDataFrame([("a", "x")], "doc_id string, md_lattice string")
     with pytest.raises(ValueError):
         m.cut_lattices(df, bytes_per_piece=0)
+
+
+def test_short_pieces_share_a_batch(spark):
+    """One batch per piece cost many times what the cut does."""
+    import pyarrow as pa
+
+    class Rows:
+        columns = ["doc_id", "md_lattice"]
+
+        def select(self, *_):
+            self.schema = T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("_text", T.BinaryType())])
+            return self
+
+        def mapInArrow(self, run, schema):
+            text = b"a\n\nb\n\nc\n\n" * 50
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(["x", "y", "z"]), pa.array([text, None, b"a"], pa.binary())], names=["doc_id", "_text"]
+            )
+            self.out = [*run([batch])]
+            return self
+
+    rows = Rows()
+    m.cut_lattices(rows, bytes_per_piece=1)
+    (batch,) = rows.out
+    assert batch.num_rows == 152
+    assert batch.column("doc_id").to_pylist() == ["x"] * 150 + ["y", "z"]
+    assert batch.column("sentence_offset").to_pylist() == [*range(150), 0, 0]
+    assert batch.column("_text").to_pylist() == [b"a", b"b", b"c"] * 50 + [None, b"a"]
