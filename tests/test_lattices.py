@@ -381,3 +381,20 @@ def test_short_pieces_share_a_batch(spark):
     assert batch.column("doc_id").to_pylist() == ["x"] * 150 + ["y", "z"]
     assert batch.column("sentence_offset").to_pylist() == [*range(150), 0, 0]
     assert batch.column("_text").to_pylist() == [b"a", b"b", b"c"] * 50 + [None, b"a"]
+
+
+def test_sparse_order_of_short_sentences_needs_no_tree(spark):
+    rows = [(str(d), 1, i * -7_000_000_011, f"w{i}") for d in range(3) for i in range(12)]
+    rows += [("long", 2, i * 5_000_000_000, f"w{i}") for i in range(70)] + [(None, 1, None, "a"), (None, 1, 4, "b")]
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, place long, token string")
+
+    def joins(numbered):
+        return numbered._jdf.queryExecution().optimizedPlan().toString().count("Join")
+
+    assert joins(m.with_token_id(df.where("doc_id != 'long'"), "place", rows_per_block=10)) == 0
+    numbered = m.with_token_id(df, "place", rows_per_block=10)
+    assert joins(numbered) > 2
+    got = {(r.doc_id, r.token): r.token_id for r in numbered.collect()}
+    want = {(str(d), f"w{i}"): 12 - i for d in range(3) for i in range(12)}
+    want |= {("long", f"w{i}"): i + 1 for i in range(70)} | {(None, "a"): 1, (None, "b"): 2}
+    assert got == want
