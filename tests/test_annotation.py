@@ -233,3 +233,29 @@ def test_a_factory_that_fails_stops_the_job(spark):
     for options in ({}, {"in_flight": 4}, {"deadline": 5.0}):
         with pytest.raises(Exception, match="no model"):
             m.annotate(df, factory, on_error="keep", **options).collect()
+
+
+def test_a_hanging_call_holds_only_its_own_place(spark):
+    """More calls hang than may in a row, each among others that are answered meanwhile."""
+
+    def factory():
+        import time as clock
+
+        def annotator(wire):
+            if "hang" in wire:
+                clock.sleep(600)
+            return wire.strip() + "x" * 500_000
+
+        return annotator
+
+    texts = [f"{'hang' if i % 5 == 2 else 'w'}{i}" for i in range(200)] + [None]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "doc_id string, text string").coalesce(1)
+    start = time.time()
+    rows = m.annotate(df, factory, on_error="keep", in_flight=8, deadline=1.0).collect()
+    assert time.time() - start < 20
+    assert [r.doc_id for r in rows] == [str(i) for i in range(201)]
+    for row, text in zip(rows, texts):
+        if text is None or text.startswith("hang"):
+            assert row.response is None and (row.error is None) == (text is None)
+        else:
+            assert row.response == text + "x" * 500_000 and row.error is None
