@@ -297,7 +297,7 @@ def dfm_vectors(
     """
     if index is None:
         counts = materialize(counts)
-        index = materialize(feature_index(counts))
+        index = feature_index(counts)
     # Adaptive execution splits the partition of a feature that very many documents have.
     unknown = F.raise_error(F.concat(F.lit("not in the index: "), F.col("feature")))
     entries = counts.join(index.select("feature", "feature_index"), "feature", "left")
