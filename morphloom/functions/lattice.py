@@ -15,24 +15,19 @@ from morphloom.functions.text import _col
 _NUMBER = r"^\s*+[+-]?+(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+\s*+$"
 
 
-# Breaks between sentences and at the ends of a lattice. Trimming the ends first would cost
-# more than the split: Spark's trim of given characters lists the place of every character.
-_BREAK = r"\n++(?:(?<=\n\n)|(?<=\A\n)|\z)"
+# A lattice without the blank lines at its ends. Spark's trim of given characters would list
+# the place of every character.
+_INNER = r"(?s)\A\n*+(.*[^\n])"
 
 
-def _parts(lattice: Column, between: str) -> Column:
-    """What stands between the breaks; NULL if nothing does. Breaks at the ends leave an
-    empty part there, and there are no others."""
-    # Only a text that begins with a line break may be nothing else.
-    some = F.when(
-        F.startswith(lattice, F.lit("\n")) | (lattice == ""), F.rlike(lattice, F.lit(r"[^\n]"))
-    ).otherwise(True)
-    return F.when(some, F.array_remove(F.split(lattice, between), ""))
+def _body(lattice: Column | str) -> Column:
+    """The lattice without blank lines at its ends; NULL if nothing is left."""
+    return F.nullif(F.regexp_extract(_col(lattice), _INNER, 1), F.lit(""))
 
 
 def sentence_blocks(lattice: Column | str) -> Column:
     """Array of sentences, each still one string; NULL for an empty lattice."""
-    return _parts(_col(lattice), _BREAK)
+    return F.split(_body(lattice), "\n\n+")
 
 
 def sentence_lines(block: Column | str) -> Column:
@@ -42,7 +37,7 @@ def sentence_lines(block: Column | str) -> Column:
 
 def lattice_lines(lattice: Column | str) -> Column:
     """Array of all lines in reading order, whatever their sentence."""
-    return _parts(_col(lattice), "\n+")
+    return F.split(_body(lattice), "\n+")
 
 
 def line_fields(line: Column | str, upto: int | None = None) -> Column:
