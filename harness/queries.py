@@ -380,10 +380,10 @@ def stopword_removal(spark, sf):
 
 
 def stopword_removal_large(spark, sf):
-    """As for a list that is too large to broadcast."""
-    return m.remove_stopwords(
-        m.token_rows(parsed(spark, sf)), stoplist(spark, sf), broadcast_rows=0
-    )
+    """As for a list that is too large to broadcast. The tokens are then read twice, so they
+    are stored first and no document is annotated again."""
+    tokens = m.store(m.token_rows(parsed(spark, sf)))
+    return m.remove_stopwords(tokens, stoplist(spark, sf), broadcast_rows=0)
 
 
 def dfm_stopword_table(spark, sf):

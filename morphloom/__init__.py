@@ -8,6 +8,7 @@ from morphloom.plans import (
     materialize,
     parse,
     parse_dependencies,
+    store,
     text_to_dfm,
     text_to_tokens,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "sources",
     "spread_small",
     "stopwords",
+    "store",
     "strip_punct",
     "text_to_dfm",
     "text_to_tokens",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +33,15 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and read it back from Parquet files, by the columns that are needed.
+
+    For a table with a row per morpheme these are a small part of what a checkpoint of
+    its rows takes (:func:`materialize`). They lie in a folder of their own below
+    :func:`checkpoint_folder`, which Spark does not remove by itself.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/rows_{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -55,7 +55,8 @@ def remove_stopwords(
     broadcast: rows whose word it rules out stay where they are, and only the others, the
     stopwords and one word in 32 by chance, are shuffled to be joined with the list, where
     adaptive execution splits the partition of a common word. ``df`` is then read twice,
-    so store it first if it is costly or not the same on every reading.
+    so store it first (:func:`morphloom.store`) if it is costly or not the same on every
+    reading.
     """
     if stopwords is None:
         return df

@@ -1,0 +1,33 @@
+"""What is read twice is worked out once."""
+
+import morphloom as m
+from harness.queries import stopword_removal_large
+
+
+def test_documents_are_annotated_once(spark, tmp_path):
+    spark.createDataFrame(
+        [(i, "en", "src0", f"an Old word{i} of the x. A word{i}, on it") for i in range(20)],
+        "doc_id bigint, lang string, source string, text string",
+    ).write.parquet(str(tmp_path / "documents.parquet"))
+    kept = stopword_removal_large(spark, str(tmp_path))
+    # Neither of the two readings goes back to the annotator.
+    assert "MapInArrow" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.token.rstrip("0123456789,") for r in kept.collect()} == {"word"}
+    assert kept.count() == 40
+
+
+def test_store_gives_the_same_table(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    rows = [("a", 1, ["x", None], None), ("a", 1, ["x", None], None), (None, 2, [], "\n\u05d0")]
+    df = spark.createDataFrame(rows, "`a b` string, n int, l array<string>, s string")
+    stored = m.store(df.mapInArrow(seen, df.schema))
+    assert stored.schema == df.schema
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, df.collect()))
+    assert stored.where("n = 1").count() == 2 and calls.value == 3
+    assert m.store(stored.where("n = 3")).count() == 0
