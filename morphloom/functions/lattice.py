@@ -22,7 +22,15 @@ _INNER = r"(?s)\A\n*+(.*[^\n])"
 
 def _body(lattice: Column | str) -> Column:
     """The lattice without blank lines at its ends; NULL if nothing is left."""
-    return F.nullif(F.regexp_extract(_col(lattice), _INNER, 1), F.lit(""))
+    lattice = _col(lattice)
+    # The blank line behind the last sentence, which nearly every lattice has, is cut off as
+    # bytes, and only what is still ragged is read as a whole.
+    raw = lattice.cast("binary")
+    short = F.substring(raw, F.lit(1), F.octet_length(raw) - 2).cast("string")
+    cut = F.when(F.endswith(lattice, F.lit("\n\n")), short).otherwise(lattice)
+    ragged = F.startswith(cut, F.lit("\n")) | F.endswith(cut, F.lit("\n"))
+    inner = F.when(ragged, F.regexp_extract(cut, _INNER, 1)).otherwise(cut)
+    return F.nullif(inner, F.lit(""))
 
 
 def sentence_blocks(lattice: Column | str) -> Column:
