@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from morphloom.functions import int_or_null, lattice_lines, sentence_blocks, to_wire
+from morphloom.functions import int_or_null, lattice_lines, sentence_blocks, strip_punct, to_wire
 from morphloom.operators import ambiguous_lattices, decode_responses, explode_md, response_alignment
 
 LATTICES = ["", "\n", "\n\n\n", "a", "\na\n", "a\nb\n\n\nc\n", "\n\na\n\nb\n\n", "\n \n\n\t\n", None]
@@ -63,3 +63,26 @@ def test_no_text_is_trimmed_as_a_whole(spark):
     df = spark.createDataFrame([(i, w) for i, w in enumerate(wires)], "i int, w string")
     got = [r.w for r in df.orderBy("i").select(to_wire("w").alias("w")).collect()]
     assert got == ["a\nb\n\n", "a\n\n", " \na\n\n", "\n\n", "\n\n", None]
+
+
+def test_only_ragged_lattices_are_searched_for_their_ends(spark):
+    df = spark.createDataFrame([("a", "x\n\n")], "doc_id string, md_lattice string")
+    rows = explode_md(df)._jdf.queryExecution().optimizedPlan().toString()
+    before = rows.index("regexp_extract")
+    # The pattern stands in a branch, behind conditions on the ends.
+    assert "StartsWith" in rows[:before] and "THEN regexp_extract" in rows
+    texts = ["a\n\n", "a\n\n\n", "a\n", "\na\n\n", "é\n\n\u05d0\n\n", "\n\n", "\n\n\n", " \n\n"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    rows = df.orderBy("i").select(sentence_blocks("x").alias("s")).collect()
+    assert [r.s for r in rows] == [["a"]] * 4 + [["é", "\u05d0"], None, None, [" "]]
+
+
+def test_plain_words_need_no_pattern(spark):
+    words = ["a", "Z", "09", "a.", "a.b", "...", "", "é", "é!", "x\u05d0", "a\n", "a`", "[", "a{", "/", ":",
+             "@", "a\u0301", "a\U0001d7ce", "a$", None]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
+    assert "CASE WHEN" in df.select(strip_punct("w"))._jdf.queryExecution().optimizedPlan().toString()
+    got = [r.s for r in df.orderBy("i").select(strip_punct("w").alias("s")).collect()]
+    want = F.regexp_replace("w", r"(?<![\p{P}\p{S}])[\p{P}\p{S}]++\z", "")
+    assert got == [r.s for r in df.orderBy("i").select(want.alias("s")).collect()]
+    assert got[3:6] == ["a", "a.b", ""]
