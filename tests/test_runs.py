@@ -1,0 +1,110 @@
+"""Neighbouring rows packed as one row, and tables of sentences that are stored so."""
+
+import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import morphloom as m
+from harness import queries
+from fixtures import COOKS, COOKS_TREE, SEA, lattice
+from morphloom.operators.layout import _dealt_out
+from morphloom.operators.runs import can_pack, pack, unpack
+
+KEYS = ["doc_id", "sentence_id"]
+
+
+def back(df, packed):
+    return unpack(packed, [f for f in df.schema if f.name not in KEYS], KEYS).select(df.columns)
+
+
+def same(left, right):
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def test_packed_rows_come_back(spark):
+    odd = [None, "", "x", "\n", "a\nb", "\x01", "a\x01\x02b", "\t", "שלום", "\\N", "x" * 5000]
+    day, now = datetime.date(2020, 2, 3), datetime.datetime(2021, 3, 4, 5, 6, 7, 891011)
+    rows = [
+        (f"d{i // 7}" if i % 50 else None, i // 3, text, i if i % 4 else None, i / 3, Decimal(i), day, now, i % 2 == 0)
+        for i, text in enumerate(odd * 5 + ["plain"] * 40 + [None] * 9 + [""] * 9)
+    ]
+    df = spark.createDataFrame(
+        rows, "doc_id string, sentence_id int, token string, n int, x double, d decimal(9,2), day date, at timestamp, flag boolean"
+    ).coalesce(2)
+    packed = pack(df, KEYS)
+    assert can_pack(df) and packed.count() < df.count()
+    assert same(back(df, packed), df)
+    assert same(back(df, packed.repartition(5, *KEYS)), df)
+
+
+def test_bytes_that_are_no_text_come_back(spark):
+    df = spark.sql("SELECT 'd' doc_id, 1 sentence_id, cast(c AS string) t FROM VALUES (X'ff41'), (X'41'), (NULL) AS v(c)")
+    got = back(df, pack(df, KEYS)).select(F.hex(F.col("t").cast("binary"))).collect()
+    assert sorted((r[0] for r in got), key=str) == ["41", "FF41", None]
+
+
+def test_one_row_per_run(spark):
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), ("b", 2, "u"), (None, 2, "v"), (None, 2, None), ("a", 1, "w")]
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, token string").coalesce(1)
+    assert [r._n for r in pack(df, KEYS).collect()] == [2, 1, 1, 2, 1]
+
+
+def test_runs_are_put_in_order(spark):
+    rows = [("a", 1, p) for p in (5, None, -3, 2**62, -(2**63), 0)] + [("b", 1, 9), ("b", 1, 8)]
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, place long").coalesce(1)
+    got = unpack(pack(df, KEYS, "place"), [df.schema["place"]], KEYS).collect()
+    assert [(r.doc_id, r._place, r.place) for r in got] == [
+        *(("a", i, p) for i, p in enumerate([None, -(2**63), -3, 0, 5, 2**62])), ("b", 0, 8), ("b", 1, 9),
+    ]
+
+
+def test_tables_that_runs_cannot_hold(spark):
+    assert not can_pack(spark.sql("SELECT 'a' doc_id, array(1) list"))
+    assert not can_pack(spark.sql("SELECT 'a' doc_id, 1 AS _n"))
+    assert not can_pack(spark.sql("SELECT 'a' doc_id, 1 AS `a.b`"))
+
+
+@pytest.fixture
+def both(spark):
+    rows = [(f"d{i}", lattice(COOKS, SEA), lattice(COOKS_TREE)) for i in range(300)]
+    return spark.createDataFrame(rows, "doc_id string, md_lattice string, dep_tree string")
+
+
+def test_sentences_are_stored_by_a_shuffle_of_sentences(spark, both, tmp_path):
+    md = m.explode_md(both)
+    above, below = _dealt_out(md, 4, KEYS)._jdf.queryExecution().executedPlan().toString().split("Exchange hashp")
+    assert "Generate" in above and "MapInArrow" in below
+    assert md.count() == 2700 and 600 <= pack(md, KEYS).count() < 700
+    table = m.store_by_sentence(md, "packed_md", 4, str(tmp_path / "t"))
+    try:
+        assert same(table, md) and table.columns == md.columns
+        assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("part-")]) == 4
+    finally:
+        spark.sql("DROP TABLE packed_md")
+
+
+def test_rows_that_do_not_lie_together_are_stored_whole(spark, both, tmp_path):
+    md = m.explode_md(both).withColumn("list", F.array("token"))
+    mixed = m.explode_md(both).repartition(7, "position")
+    try:
+        for name, rows in (("unpacked_md", md), ("mixed_md", mixed)):
+            assert same(m.store_by_sentence(rows, name, 4, str(tmp_path / name)), rows)
+    finally:
+        for name in ("unpacked_md", "mixed_md"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_the_stored_tables_of_the_query_are_joined_without_a_shuffle(spark, tmp_path):
+    source, rows = str(tmp_path), [(i, f"Word {i} and more. Then an end.") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{source}/documents.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = queries.attach_dependencies_stored(spark, source)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 40 * 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
