@@ -35,7 +35,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Compute ``df`` once and read it back from Parquet files, by the columns that are needed.
 
     For a table with a row per morpheme these are a small part of what a checkpoint of
@@ -43,5 +43,5 @@ def store(df: DataFrame) -> DataFrame:
     :func:`checkpoint_folder`, which Spark does not remove by itself.
     """
     path = f"{checkpoint_folder(df.sparkSession)}/rows_{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
