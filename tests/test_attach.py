@@ -1,0 +1,78 @@
+"""Lattice and tree rows that are put together by place, wherever they lie."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import morphloom as m
+
+MD = "doc_id string, sentence_id int, position int, token string"
+DEP = "doc_id string, sentence_id int, position int, head string, deprel string"
+
+
+def tables(rng):
+    """Sentences of some and of many words, words without arc, arcs without word, NULL keys."""
+    md, dep = [], []
+    for d in range(12):
+        doc = None if d == 7 else f"d{d}"
+        for s in [None, 0, -1, *range(1, 40)]:
+            for p in range(1, rng.choice([1, 2, 9, 30]) + (700 if (d, s) == (3, 5) else 0)):
+                place = None if rng.random() < 0.01 else p
+                if rng.random() < 0.95:
+                    md.append((doc, s, place, rng.choice(["w", "", None, "a\nb", "\x01"])))
+                if rng.random() < 0.9:
+                    dep.append((doc, s, p, rng.choice([str(p - 1), None, "x", "2.5", "-1"]), rng.choice(["subj", None, "a\nb"])))
+    md += rng.sample(md, 50)  # words may come twice
+    return md, dep
+
+
+def wanted(md, dep):
+    arcs = {row[:3]: row[3:] for row in dep if None not in row[:3]}
+    number = {None: None, "x": None, "2.5": 2}
+    rows = [(*w, *arcs.get(w[:3], (None, None))) for w in md]
+    return sorted(((*r[:4], number[r[4]] if r[4] in number else int(r[4]), r[5]) for r in rows), key=str)
+
+
+@pytest.mark.parametrize("mixed", [False, True])
+def test_attach_agrees_with_brute_force(spark, mixed):
+    rng = random.Random(9)
+    md, dep = tables(rng)
+    if mixed:
+        rng.shuffle(md)
+        rng.shuffle(dep)
+    left, right = spark.createDataFrame(md, MD), spark.createDataFrame(dep, DEP)
+    for co_located in (False, True):
+        out = m.attach_dependencies(left, right, co_located)
+        assert out.columns == ["doc_id", "sentence_id", "position", "token", "head", "deprel"]
+        assert sorted(map(tuple, out.collect()), key=str) == wanted(md, dep)
+
+
+def test_blocks_are_shuffled_not_rows(spark):
+    md = spark.sql("SELECT string(id div 100) doc_id, int(id div 10 % 10) sentence_id, int(id % 10) position, 'w' token FROM range(5000)")
+    dep = md.select("doc_id", "sentence_id", "position", F.lit("0").alias("head"), F.lit("subj").alias("deprel"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = m.attach_dependencies(md, dep)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows are made again above the join; below it each side is packed and shuffled once.
+    assert plan.index("Generate") < plan.index("SortMergeJoin") and plan.count("Generate") == 1
+    assert plan.count("MapInArrow") == 2 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_places_taken_twice_stop_the_job_only_if_words_need_them(spark):
+    rows = [("a", 1, 1, "0", "ROOT"), ("a", 1, 2, "1", "obj"), ("b", 1, 1, "0", "ROOT"), ("a", 1, 2, "1", "obj")]
+    dep = spark.createDataFrame(rows, DEP)
+    fine = spark.createDataFrame([("a", 1, 1, "x"), ("b", 1, 1, "y")], MD)
+    assert {tuple(r) for r in m.attach_dependencies(fine, dep).select("doc_id", "head").collect()} == {("a", 0), ("b", 0)}
+    bad = spark.createDataFrame([("a", 1, 2, "x")], MD)
+    with pytest.raises(Exception, match="several trees for document a"):
+        m.attach_dependencies(bad, dep).collect()
+
+
+def test_tables_that_cannot_be_packed_are_joined(spark):
+    md = spark.createDataFrame([("a", 1, 1, ["x"]), ("a", 1, 2, ["y"])], MD.replace("token string", "token array<string>"))
+    dep = spark.createDataFrame([("a", 1, 2, "1", "obj")], DEP)
+    got = {(r.position, r.token[0], r.head, r.deprel) for r in m.attach_dependencies(md, dep).collect()}
+    assert got == {(1, "x", None, None), (2, "y", 1, "obj")}
